@@ -177,6 +177,67 @@ def changed_time_text(d: Dialect, tag: str, index: int) -> str:
     )
 
 
+def folder_text(d: Dialect) -> str:
+    """Snapshot folder names, with folders that are no time among them."""
+    ten = d.text("m", "ten")
+    return (
+        f"case when e % 31 = 1 then 'tmp' when e % 31 = 2 then substr({ten}, 1, 9) when e % 31 = 3 then '2413011200' "
+        f"when e % 31 = 4 then '2401012400' when e % 31 = 5 then '2402301200' else {ten} end"
+    )
+
+
+def dayfirst_text(d: Dialect) -> str:
+    text = d.text("m", "dayfirst")
+    return (
+        f"case when e % 31 = 1 then null when e % 31 = 2 then substr({text}, 1, 9) when e % 31 = 3 then '3002241200' "
+        f"when e % 31 = 4 then '' else {text} end"
+    )
+
+
+# ---- delays to the second ---------------------------------------------------
+
+
+def delay_columns(d: Dialect) -> dict[str, str]:
+    """Planned and actual times with delays from about -3 to +4 minutes."""
+    return {
+        "event_id": "event_id",
+        "planned": f"case when event_id % 19 = 0 then null else {d.trunc('minute', 'ts')} end",
+        "actual": f"case when event_id % 17 = 0 then null else {d.plus(d.trunc('second', 'ts'), 'event_id % 7 - 3')} end",
+    }
+
+
+# ---- messages ---------------------------------------------------------------
+
+
+def message_columns(d: Dialect) -> dict[str, str]:
+    """``dim_message`` over ``orders``: one message per order."""
+    return {
+        "message_key": "cast(o_orderkey as int)",
+        "message_id": "'m' || cast(o_orderkey as string)",
+        "message_type": "case when o_orderkey % 3 = 0 then 'h' else 'd' end",
+        "message_category": "o_orderstatus",
+        "message_code": "cast(o_orderkey % 90 as string)",
+        "priority": "cast(substr(o_orderpriority, 1, 1) as int)",
+        "timestamp": "o_orderdate",
+        "timestamp_tts": d.text("o_orderdate", "ten"),
+        "valid_from": "o_orderdate",
+        "valid_to": d.plus("o_orderdate", "1440"),
+    }
+
+
+def bridge_columns() -> dict[str, str]:
+    """One to three messages per movement, spread by the stop number in ``sid``."""
+    number = "cast(substr(sid, 2) as bigint)"
+    return {
+        "movement_id": "movement_id",
+        "message_key": f"cast(({number} * 3 + k) % 1000 as int)",
+        "message_sequence": "cast(k as smallint)",
+    }
+
+
+BRIDGE_FILTER = "k <= cast(substr(sid, 2) as bigint) % 3 + 1"
+
+
 # ---- lake tables ------------------------------------------------------------
 
 EVENT_KIND = "case when event_type in ('click', 'view', 'error') then 'departure' else 'arrival' end"
@@ -424,6 +485,20 @@ def station_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full.union(empty)
 
 
+def delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _layer(table(spark, sf_dir, "events"), delay_columns(SPARK))
+
+
+def messages(spark: SparkSession, sf_dir: str):
+    """(movements -> bridge, dim_message)."""
+
+    def bridge(movements: DataFrame) -> DataFrame:
+        numbered = movements.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3))))
+        return _layer(numbered.where(BRIDGE_FILTER), bridge_columns())
+
+    return bridge, _layer(table(spark, sf_dir, "orders"), message_columns(SPARK))
+
+
 # ---- search points ----------------------------------------------------------
 
 

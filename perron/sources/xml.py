@@ -19,6 +19,13 @@ from perron.sources import layout
 _OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "ignoreSurroundingSpaces": "false"}
 
 
+def decoded_path() -> Column:
+    """The path of the file being read; the metadata column holds it as a URI."""
+    # '+' is literal in a path but a blank to url_decode
+    uri = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(uri).alias("file_path")
+
+
 def read_documents(spark: SparkSession, root: str, feed: str) -> DataFrame:
     """(file_path, xml): every ``*.xml`` below the feed, one row per file."""
     files = (
@@ -26,9 +33,7 @@ def read_documents(spark: SparkSession, root: str, feed: str) -> DataFrame:
         .option("pathGlobFilter", "*.xml")
         .text(f"{root.rstrip('/')}/{feed}", wholetext=True)
     )
-    # _metadata.file_path is a URI; '+' is literal there.
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return files.select(path.alias("file_path"), F.col("value").alias("xml"))
+    return files.select(decoded_path(), F.col("value").alias("xml"))
 
 
 def _parse(documents: DataFrame, schema: T.StructType) -> DataFrame:
