@@ -91,7 +91,7 @@ def actual_platform(changed: Column, line: Column, line_fallback: bool = True) -
 
 def station_from_filename(path: Column) -> Column:
     """``…/berlin_x_timetable.xml`` -> ``berlin x``."""
-    name = F.regexp_extract(path, r"([^/]*)\z", 1)
+    name = F.substring_index(path, "/", -1)
     return F.replace(F.replace(name, F.lit(FILE_SUFFIX), F.lit("")), F.lit("_"), F.lit(" "))
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perron.functions import haversine_km, unit_sphere
 
-# Finest grid: cells of 2/4096 of the Earth's radius, about 3 km.
-FINEST = 12
+# Finest grid: cells of 2/16384 of the Earth's radius, about 0.8 km.
+FINEST = 14
 
 
 def located(stations: DataFrame) -> DataFrame:
@@ -34,7 +34,8 @@ def nearest_station(stations: DataFrame, latitude: float, longitude: float) -> D
 # If a point's own cell of side s holds a station, the nearest one is within
 # sqrt(3) * s < 2 * s, hence inside the 27 cells of side 2 * s around the
 # point. Candidate stations are worked out once per occupied finest cell (there
-# are only so many on Earth), then joined to the points of that cell.
+# are only so many on Earth) and cut down to those that are nearest for some
+# place in the cell; only then do they meet the points of that cell.
 
 
 def _grid_axis(value: Column, level: int) -> Column:
@@ -52,7 +53,7 @@ def _coarser(cell: Column, levels: Column) -> Column:
 
 
 def _all_levels(df: DataFrame) -> DataFrame:
-    """Each row's cell on every grid level from the finest (12) to the whole globe (0)."""
+    """Each row's cell on every grid level from the finest to the whole globe (0)."""
     return df.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(FINEST)))).withColumn(
         "level_cell", _coarser(F.col("cell"), F.lit(FINEST) - F.col("level"))
     )
@@ -80,7 +81,29 @@ def _candidates(points: DataFrame, stations: DataFrame) -> DataFrame:
         .select("cell", "level", F.struct("x", "y", "z").alias("level_cell"))
     )
     return around.join(station_cells.drop("cell"), ["level", "level_cell"]).select(
-        "cell", "station_key", "station_name", "latitude", "longitude"
+        "cell", "station_key", "station_name", "latitude", "longitude", "sx", "sy", "sz"
+    )
+
+
+def _contenders(candidates: DataFrame) -> DataFrame:
+    """Drop stations that cannot be nearest anywhere in the cell.
+
+    With r the reach of a cell around its centre, a station farther from the
+    centre than the closest one by more than 2 r loses everywhere.
+    """
+    steps = 1 << FINEST
+
+    def offset(axis: str) -> Column:
+        return F.pow((F.col(f"cell.{axis}") + 0.5) / steps * 2 - 1 - F.col(f"s{axis}"), F.lit(2.0))
+
+    from_centre = F.sqrt(offset("x") + offset("y") + offset("z"))
+    closest = F.min("from_centre").over(Window.partitionBy("cell"))
+    reach = 3**0.5 / steps
+    return (
+        candidates.withColumn("from_centre", from_centre)
+        .withColumn("closest", closest)
+        .where(F.col("from_centre") <= F.col("closest") + 2 * reach + 1e-9)
+        .drop("from_centre", "closest", "sx", "sy", "sz")
     )
 
 
@@ -94,11 +117,12 @@ def nearest_station_batch(points: DataFrame, stations: DataFrame) -> DataFrame:
         .groupBy("latitude", "longitude")
         .agg(F.min_by(F.struct("station_key", "station_name"), "station_key").alias("s"))
         .select("latitude", "longitude", "s.*")
-        .withColumn("cell", _cell(unit_sphere(F.col("latitude"), F.col("longitude")), FINEST))
     )
+    sphere = unit_sphere(F.col("latitude"), F.col("longitude"))
+    spots = spots.withColumns({"cell": _cell(sphere, FINEST), "sx": sphere[0], "sy": sphere[1], "sz": sphere[2]})
     distance = haversine_km(lat, lon, F.col("latitude"), F.col("longitude"))
     return (
-        placed.join(_candidates(placed, spots), "cell")
+        placed.join(_contenders(_candidates(placed, spots)), "cell")
         .select("point_id", "station_key", "station_name", distance.alias("distance_km"))
         .groupBy("point_id")
         .agg(

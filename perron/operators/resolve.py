@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perron.functions import indel_ratio, normalize_station
-from perron.functions.similarity import match_masks
+from perron.functions.similarity import letter_signature, match_masks
 
 THRESHOLD = 85
 
@@ -53,7 +53,10 @@ def exact_matches(names: DataFrame, name_map: DataFrame) -> DataFrame:
 # summed lengths. Cut the known name into dmax + 1 segments: d insertions and
 # deletions can spoil at most d of them, so one segment stands unchanged in the
 # other name, at most dmax places away. Joining on segment text therefore finds
-# every pair that can pass, without comparing all names with all stations.
+# every pair that can pass, without comparing all names with all stations. Word
+# parts that many stations share ("strasse") still pair many names; most of
+# those pairs fall to a comparison of letter signatures, which is one XOR and a
+# bit count, before the real score is computed.
 
 
 def _max_distance(length: Column) -> Column:
@@ -74,12 +77,13 @@ def _segments(name_map: DataFrame) -> DataFrame:
         name_map.where(length > 0)
         .withColumn("max_distance", _max_distance(length))
         .withColumn("masks", match_masks(F.col("normalized")))
+        .withColumn("signature", letter_signature(F.col("normalized")))
         .select("*", F.inline(F.transform(F.sequence(F.lit(0), F.col("max_distance")), cut)))
     )
 
 
-# Segments have length/(dmax + 1) characters, rounded up or down: 1 to 4.
-SEGMENT_LENGTHS = range(1, 5)
+# Segments have length/(dmax + 1) characters, rounded up or down: 1 to 3.
+SEGMENT_LENGTHS = range(1, 4)
 
 
 def _substrings(names: DataFrame) -> DataFrame:
@@ -94,7 +98,7 @@ def _substrings(names: DataFrame) -> DataFrame:
             ),
         ).otherwise(F.array())
 
-    return names.select("name", F.inline(F.concat(*[of_length(n) for n in SEGMENT_LENGTHS])))
+    return names.select("name", "name_signature", F.inline(F.concat(*[of_length(n) for n in SEGMENT_LENGTHS])))
 
 
 def fuzzy_matches(names: DataFrame, name_map: DataFrame) -> DataFrame:
@@ -103,13 +107,23 @@ def fuzzy_matches(names: DataFrame, name_map: DataFrame) -> DataFrame:
     Equal scores go to the lowest station key. A pair found through several
     segments is scored again, which the final maximum ignores.
     """
-    near = (F.length("name") + F.length("normalized")) * (100 - THRESHOLD) >= 100 * F.abs(
-        F.length("name") - F.length("normalized")
+    # Distinct names are few bytes but much work, so they are spread by number
+    # of cores rather than by size.
+    cores = names.sparkSession.sparkContext.defaultParallelism
+    probes = (
+        names.where(F.length("name") > 0)
+        .repartition(cores, "name")
+        .withColumn("name_signature", letter_signature(F.col("name")))
+    )
+    allowed = (F.length("name") + F.length("normalized")) * (100 - THRESHOLD)
+    distance_floor = F.greatest(
+        F.abs(F.length("name") - F.length("normalized")),
+        F.bit_count(F.col("name_signature").bitwiseXOR(F.col("signature"))),
     )
     candidates = (
-        _substrings(names.where(F.length("name") > 0))
+        _substrings(probes)
         .join(_segments(name_map), "segment")
-        .where((F.abs(F.col("place") - F.col("at")) <= F.col("max_distance")) & near)
+        .where((F.abs(F.col("place") - F.col("at")) <= F.col("max_distance")) & (distance_floor * 100 <= allowed))
     )
     score = indel_ratio(F.col("name"), F.col("normalized"), F.col("masks"))
     return (

@@ -42,6 +42,10 @@ def _planned(spark, sf_dir):
     return xml.parse_planned(derived.planned_documents(spark, sf_dir))
 
 
+def _stops(spark, sf_dir):
+    return xml.planned_stops(_planned(spark, sf_dir))
+
+
 def _changes(spark, sf_dir):
     return xml.parse_changes(derived.change_documents(spark, sf_dir))
 
@@ -55,7 +59,7 @@ def _dim_station(spark, sf_dir):
 
 
 def _movements(spark, sf_dir):
-    return xml.warehouse_planned(_planned(spark, sf_dir))
+    return xml.warehouse_planned(_stops(spark, sf_dir))
 
 
 def _name_pairs(spark, sf_dir):
@@ -150,7 +154,7 @@ def station_json_scan(spark, sf_dir):
 
 @query
 def train_scan(spark, sf_dir):
-    return xml.train_rows(_planned(spark, sf_dir))
+    return xml.train_rows(_stops(spark, sf_dir))
 
 
 @query
@@ -209,7 +213,7 @@ def _lake_trains(spark, sf_dir):
 
 
 def _xml_trains(spark, sf_dir):
-    return dimensions.train_members(xml.train_rows(_planned(spark, sf_dir)))
+    return dimensions.train_members(xml.train_rows(_stops(spark, sf_dir)))
 
 
 @query
@@ -224,7 +228,9 @@ def dim_station_load(spark, sf_dir):
 
 @query
 def fact_build(spark, sf_dir):
-    return _build(spark, sf_dir).fact
+    house = _build(spark, sf_dir)
+    _loaded.setdefault((spark.sparkContext.applicationId, sf_dir), house)
+    return house.fact
 
 
 @query

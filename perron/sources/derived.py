@@ -283,6 +283,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores where the input has fewer splits than there are cores.
+
+    Test tables are one small file each; a table of many splits stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _layer(df: DataFrame, columns: dict[str, str], keep: bool = False) -> DataFrame:
     kept = [f"`{c}`" for c in df.columns if keep and c not in columns]
     return df.selectExpr(*kept, *[f"{sql} as {name}" for name, sql in columns.items()])
@@ -299,7 +308,7 @@ def timetable_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "events")
+    df = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"))
     for columns in stop_layers(SPARK):
         df = _layer(df, columns)
     return df

@@ -14,19 +14,20 @@ PLANNED_FEED = "timetables"
 CHANGE_FEED = "timetable_changes"
 FEEDS = (PLANNED_FEED, CHANGE_FEED)
 
-_LEVELS = r"([^/]+)/([^/]+)/([^/]+)/([^/]+)\z"
+def _part_from_end(path: Column, n: int) -> Column:
+    return F.substring_index(F.substring_index(path, "/", -n), "/", 1)
 
 
 def feed_of(path: Column) -> Column:
-    return F.regexp_extract(path, _LEVELS, 1)
+    return _part_from_end(path, 4)
 
 
 def period_of(path: Column) -> Column:
-    return F.regexp_extract(path, _LEVELS, 2)
+    return _part_from_end(path, 3)
 
 
 def folder_of(path: Column) -> Column:
-    return F.regexp_extract(path, _LEVELS, 3)
+    return _part_from_end(path, 2)
 
 
 def day_of(path: Column) -> Column:

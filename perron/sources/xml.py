@@ -55,22 +55,32 @@ def corrupt_documents(parsed: DataFrame) -> DataFrame:
     )
 
 
-def _stops(parsed: DataFrame) -> DataFrame:
-    return parsed.select(
-        "file_path", F.col("doc._station").alias("station"), F.posexplode("doc.s").alias("stop_pos", "s")
+def stops_of(parsed: DataFrame, *path_facts: Column) -> DataFrame:
+    """One row per stop: file_path, station, stop_pos, the stop ``s``, path facts.
+
+    Facts about the file are computed here, once per document. The outer forms
+    of the explodes matter: the inner ones make the optimizer add a filter on
+    the exploded array, for which every document would be parsed once more.
+    """
+    stops = parsed.select(
+        "file_path",
+        *path_facts,
+        F.col("doc._station").alias("station"),
+        F.posexplode_outer("doc.s").alias("stop_pos", "s"),
     )
+    return stops.where("s is not null")
 
 
 # ---- lake rows --------------------------------------------------------------
 
 
-def _first_events(parsed: DataFrame) -> DataFrame:
+def _first_events(stops: DataFrame) -> DataFrame:
     """First arrival and first departure of each stop."""
     pairs = F.array(
         F.struct(F.lit("arrival").alias("event_type"), first_element(F.col("s.ar")).alias("el")),
         F.struct(F.lit("departure").alias("event_type"), first_element(F.col("s.dp")).alias("el")),
     )
-    return _stops(parsed).select("file_path", "station", "s", F.inline(pairs)).where("el is not null")
+    return stops.select("*", F.inline_outer(pairs)).where("el is not null")
 
 
 def _or_empty(value: Column) -> Column:
@@ -84,7 +94,7 @@ def lake_timetables(parsed: DataFrame) -> DataFrame:
         # '' where the stop has no train element, null where only the attribute is missing
         return F.when(F.col("s.tl").isNull(), F.lit("")).otherwise(F.col(f"s.tl.{attribute}"))
 
-    return _first_events(parsed).select(
+    return _first_events(stops_of(parsed)).select(
         F.col("s._id").alias("sid"),
         "station",
         "event_type",
@@ -103,8 +113,8 @@ def lake_changes(parsed: DataFrame, snapshot: bool = False) -> DataFrame:
 
     ``snapshot=True`` adds the snapshot time, which "newest change" queries need.
     """
-    extra = [layout.snapshot_time_of(F.col("file_path")).alias("snapshot_ts")] if snapshot else []
-    return _first_events(parsed).select(
+    facts = [layout.snapshot_time_of(F.col("file_path")).alias("snapshot_ts")] if snapshot else []
+    return _first_events(stops_of(parsed, *facts)).select(
         F.col("s._id").alias("sid"),
         "station",
         "event_type",
@@ -114,7 +124,7 @@ def lake_changes(parsed: DataFrame, snapshot: bool = False) -> DataFrame:
         _or_empty(F.col("el._cs")).alias("cancellation_status"),
         _or_empty(F.col("el._pp")).alias("planned_platform"),
         _or_empty(F.col("el._cpth")).alias("changed_path"),
-        *extra,
+        *(["snapshot_ts"] if snapshot else []),
     )
 
 
@@ -131,25 +141,34 @@ def _all_events(stops: DataFrame) -> DataFrame:
         )
         return F.coalesce(elements, F.array())
 
-    return stops.select("file_path", "station", "stop_pos", "s", F.inline(F.concat(tagged("ar"), tagged("dp"))))
+    return stops.select("*", F.inline_outer(F.concat(tagged("ar"), tagged("dp")))).where("el is not null")
 
 
 def _has_id() -> Column:
     return F.coalesce(F.col("s._id"), F.lit("")) != ""
 
 
-def warehouse_planned(parsed: DataFrame) -> DataFrame:
-    """One row per arrival/departure element of stops that have an id and a train."""
+def planned_stops(parsed: DataFrame) -> DataFrame:
+    """Planned stops with the facts of their file; the form the warehouse stages."""
     path = F.col("file_path")
-    stops = _stops(parsed).where(_has_id() & F.col("s.tl").isNotNull())
-    return _all_events(stops).select(
+    return stops_of(
+        parsed,
         layout.period_of(path).alias("period"),
         layout.day_of(path).alias("day"),
+        station_from_filename(path).alias("file_station"),
+    )
+
+
+def warehouse_planned(stops: DataFrame) -> DataFrame:
+    """One row per arrival/departure element of stops that have an id and a train."""
+    return _all_events(stops.where(_has_id() & F.col("s.tl").isNotNull())).select(
+        "period",
+        "day",
         "file_path",
         "stop_pos",
         "event_pos",
         _or_empty(F.col("station")).alias("xml_station"),
-        station_from_filename(path).alias("file_station"),
+        "file_station",
         F.col("s._id").alias("sid"),
         train_id_fact(F.col("s.tl._c"), F.col("s.tl._n"), F.col("s.tl._o")).alias("train_id"),
         "event_type",
@@ -165,10 +184,16 @@ def warehouse_planned(parsed: DataFrame) -> DataFrame:
 def warehouse_changes(parsed: DataFrame, line_fallback: bool = True) -> DataFrame:
     """One row per changed arrival/departure element of stops that have an id."""
     path = F.col("file_path")
-    return _all_events(_stops(parsed).where(_has_id())).select(
+    stops = stops_of(
+        parsed,
         layout.period_of(path).alias("period"),
         layout.day_of(path).alias("day"),
         layout.snapshot_time_of(path).alias("snapshot_ts"),
+    )
+    return _all_events(stops.where(_has_id())).select(
+        "period",
+        "day",
+        "snapshot_ts",
         "file_path",
         "stop_pos",
         "event_pos",
@@ -183,19 +208,15 @@ def warehouse_changes(parsed: DataFrame, line_fallback: bool = True) -> DataFram
     )
 
 
-def train_rows(parsed: DataFrame) -> DataFrame:
+def train_rows(stops: DataFrame) -> DataFrame:
     """Train attributes of every stop whose category and number are not empty."""
     given = (F.coalesce(F.col("s.tl._c"), F.lit("")) != "") & (F.coalesce(F.col("s.tl._n"), F.lit("")) != "")
-    return (
-        _stops(parsed)
-        .where(given)
-        .select(
-            "file_path",
-            "stop_pos",
-            F.col("s.tl._c").alias("category"),
-            F.col("s.tl._n").alias("number"),
-            F.col("s.tl._o").alias("operator"),
-            F.col("s.tl._t").alias("type"),
-            F.col("s.tl._f").alias("class"),
-        )
+    return stops.where(given).select(
+        "file_path",
+        "stop_pos",
+        F.col("s.tl._c").alias("category"),
+        F.col("s.tl._n").alias("number"),
+        F.col("s.tl._o").alias("operator"),
+        F.col("s.tl._t").alias("type"),
+        F.col("s.tl._f").alias("class"),
     )
