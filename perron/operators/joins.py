@@ -26,3 +26,12 @@ def left_lookup(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame
 def new_members(candidates: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Distinct candidate keys that ``existing`` does not hold yet."""
     return candidates.where(F.col(key).isNotNull()).join(existing.select(key), key, "left_anti")
+
+
+def spread_by_work(df: DataFrame, *keys: str) -> DataFrame:
+    """One partition per shuffle partition, whatever the size.
+
+    For rows of few bytes but much work: adaptive execution would merge them
+    into few tasks because it goes by bytes.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

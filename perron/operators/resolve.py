@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from perron.functions import indel_ratio, normalize_station
 from perron.functions.similarity import letter_signature, match_masks
+from perron.operators.joins import spread_by_work
 
 THRESHOLD = 85
 
@@ -75,10 +76,15 @@ def _segments(name_map: DataFrame) -> DataFrame:
 
     return (
         name_map.where(length > 0)
-        .withColumn("max_distance", _max_distance(length))
-        .withColumn("masks", match_masks(F.col("normalized")))
-        .withColumn("signature", letter_signature(F.col("normalized")))
+        .select(
+            "station_key",
+            "normalized",
+            length.alias("known_length"),
+            _max_distance(length).alias("max_distance"),
+            letter_signature(F.col("normalized")).alias("known_signature"),
+        )
         .select("*", F.inline(F.transform(F.sequence(F.lit(0), F.col("max_distance")), cut)))
+        .drop("normalized")
     )
 
 
@@ -98,44 +104,47 @@ def _substrings(names: DataFrame) -> DataFrame:
             ),
         ).otherwise(F.array())
 
-    return names.select("name", "name_signature", F.inline(F.concat(*[of_length(n) for n in SEGMENT_LENGTHS])))
-
+    return (
+        names.where(F.length(name) > 0)
+        .select("name", F.length(name).alias("name_length"), letter_signature(name).alias("name_signature"))
+        .select("*", F.inline(F.concat(*[of_length(n) for n in SEGMENT_LENGTHS])))
+    )
 
-def fuzzy_matches(names: DataFrame, name_map: DataFrame) -> DataFrame:
-    """Best station with a score of at least 85 for each distinct ``name``.
 
-    Equal scores go to the lowest station key. A pair found through several
-    segments is scored again, which the final maximum ignores.
-    """
-    # Distinct names are few bytes but much work, so they are spread by number
-    # of cores rather than by size.
-    cores = names.sparkSession.sparkContext.defaultParallelism
-    probes = (
-        names.where(F.length("name") > 0)
-        .repartition(cores, "name")
-        .withColumn("name_signature", letter_signature(F.col("name")))
-    )
-    allowed = (F.length("name") + F.length("normalized")) * (100 - THRESHOLD)
+def _candidate_pairs(names: DataFrame, name_map: DataFrame) -> DataFrame:
+    """Distinct (name, station_key) that may score 85; a pair found through
+    several segments is counted once."""
     distance_floor = F.greatest(
-        F.abs(F.length("name") - F.length("normalized")),
-        F.bit_count(F.col("name_signature").bitwiseXOR(F.col("signature"))),
+        F.abs(F.col("name_length") - F.col("known_length")),
+        F.bit_count(F.col("name_signature").bitwiseXOR(F.col("known_signature"))),
     )
-    candidates = (
-        _substrings(probes)
+    allowed = (F.col("name_length") + F.col("known_length")) * (100 - THRESHOLD)
+    in_reach = F.abs(F.col("place") - F.col("at")) <= F.col("max_distance")
+    return (
+        _substrings(names)
         .join(_segments(name_map), "segment")
-        .where((F.abs(F.col("place") - F.col("at")) <= F.col("max_distance")) & (distance_floor * 100 <= allowed))
+        .where(in_reach & (distance_floor * 100 <= allowed))
+        .select("name", "station_key")
+        .distinct()
     )
+
+
+def fuzzy_matches(names: DataFrame, name_map: DataFrame) -> DataFrame:
+    """Best station with a score of at least 85 for each distinct ``name``.
+
+    Equal scores go to the lowest station key.
+    """
+    known = name_map.select("*", match_masks(F.col("normalized")).alias("masks"))
     score = indel_ratio(F.col("name"), F.col("normalized"), F.col("masks"))
+    ranked = F.struct("score", -F.col("station_key"))
     return (
-        candidates.select("name", "station_key", "station_name", score.alias("score"))
-        .where(F.col("score") >= THRESHOLD)
+        spread_by_work(_candidate_pairs(names, name_map), "name")
+        .join(known, "station_key")
+        .select("name", "station_key", "station_name", score.alias("score"))
         .groupBy("name")
-        .agg(
-            F.max_by(
-                F.struct("station_key", "station_name", "score"), F.struct("score", -F.col("station_key"))
-            ).alias("best")
-        )
+        .agg(F.max_by(F.struct("station_key", "station_name", "score"), ranked).alias("best"))
         .select("name", "best.*")
+        .where(F.col("score") >= THRESHOLD)
     )
 
 

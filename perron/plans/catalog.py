@@ -38,8 +38,31 @@ def query(function: Query) -> Query:
 # ---- inputs -----------------------------------------------------------------
 
 
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def land_documents(spark, sf_dir, feed):
+    """(file_path, xml) of a feed. The documents are rendered from the test
+    tables once per application; queries then start from them as from a drop."""
+    place = (spark.sparkContext.applicationId, sf_dir, feed)
+    if place not in _landed:
+        render = derived.planned_documents if feed == layout.PLANNED_FEED else derived.change_documents
+        path = shared_dir(spark, feed)
+        render(spark, sf_dir).write.parquet(path)
+        _landed[place] = path
+    return spark.read.parquet(_landed[place])
+
+
+def _planned_documents(spark, sf_dir):
+    return land_documents(spark, sf_dir, layout.PLANNED_FEED)
+
+
+def _change_documents(spark, sf_dir):
+    return land_documents(spark, sf_dir, layout.CHANGE_FEED)
+
+
 def _planned(spark, sf_dir):
-    return xml.parse_planned(derived.planned_documents(spark, sf_dir))
+    return xml.parse_planned(_planned_documents(spark, sf_dir))
 
 
 def _stops(spark, sf_dir):
@@ -47,7 +70,7 @@ def _stops(spark, sf_dir):
 
 
 def _changes(spark, sf_dir):
-    return xml.parse_changes(derived.change_documents(spark, sf_dir))
+    return xml.parse_changes(_change_documents(spark, sf_dir))
 
 
 def _station_rows(spark, sf_dir):
@@ -67,11 +90,11 @@ def _name_pairs(spark, sf_dir):
 
 
 def _planned_files(spark, sf_dir):
-    return derived.planned_documents(spark, sf_dir).select("file_path")
+    return _planned_documents(spark, sf_dir).select("file_path")
 
 
 def _change_files(spark, sf_dir):
-    return derived.change_documents(spark, sf_dir).select("file_path")
+    return _change_documents(spark, sf_dir).select("file_path")
 
 
 def _planned_times(spark, sf_dir):
@@ -89,8 +112,8 @@ def _text_stops(spark, sf_dir, sql: str):
 def _build(spark, sf_dir):
     return warehouse.build_warehouse(
         spark,
-        derived.planned_documents(spark, sf_dir),
-        derived.change_documents(spark, sf_dir),
+        _planned_documents(spark, sf_dir),
+        _change_documents(spark, sf_dir),
         _station_rows(spark, sf_dir),
         shared_dir(spark, "warehouse"),
     )
@@ -135,7 +158,7 @@ def change_period_semi_join(spark, sf_dir):
 
 @query
 def archive_member_scan(spark, sf_dir):
-    packed = archives.pack_documents(derived.planned_documents(spark, sf_dir))
+    packed = archives.pack_documents(_planned_documents(spark, sf_dir))
     return xml.lake_timetables(xml.parse_planned(archives.archive_documents(packed)))
 
 
@@ -624,7 +647,7 @@ def stream_xml_ingest(spark, sf_dir):
     root, target = shared_dir(spark, "drop"), shared_dir(spark, "lake")
     feed = layout.PLANNED_FEED
     # one document per line: a Spark writer cannot name a file per document
-    derived.planned_documents(spark, sf_dir).select("xml").repartition(16).write.text(f"{root}/{feed}")
+    _planned_documents(spark, sf_dir).select("xml").repartition(16).write.text(f"{root}/{feed}")
     documents = ingest.stream_documents(spark, root, feed, files_per_batch=4, pattern="*.txt", per_line=True)
     ingest.ingest_feed(documents, feed, target, f"{target}/_progress").awaitTermination()
     return tables.read_table(spark, target, feed)
@@ -632,7 +655,7 @@ def stream_xml_ingest(spark, sf_dir):
 
 @query
 def lake_build(spark, sf_dir):
-    planned, changes = derived.planned_documents(spark, sf_dir), derived.change_documents(spark, sf_dir)
+    planned, changes = _planned_documents(spark, sf_dir), _change_documents(spark, sf_dir)
     root = shared_dir(spark, "lake")
     kept = lake.restrict_to_planned_periods(changes, planned)
     tables.overwrite_table(xml.lake_timetables(xml.parse_planned(planned)), root, "timetables")

@@ -82,9 +82,10 @@ def files_per_period(planned: DataFrame, changes: DataFrame) -> DataFrame:
 
 def snapshot_times(*file_sets: DataFrame) -> DataFrame:
     """Distinct snapshot times over the folders of any number of feeds."""
-    times = None
+    folders = None
     for files in file_sets:
         # distinct before the union: each file list shrinks to its folders first
-        one = files.select(snapshot_time_of(F.col("file_path")).alias("timestamp")).distinct()
-        times = one if times is None else times.union(one)
+        one = files.select(folder_of(F.col("file_path")).alias("folder")).distinct()
+        folders = one if folders is None else folders.union(one)
+    times = folders.select(parse_time_folder(F.col("folder")).alias("timestamp"))
     return times.where("timestamp is not null").distinct()
