@@ -105,7 +105,7 @@ def _substrings(names: DataFrame) -> DataFrame:
         ).otherwise(F.array())
 
     return (
-        names.where(F.length(name) > 0)
+        spread_by_work(names.where(F.length(name) > 0), "name")
         .select("name", F.length(name).alias("name_length"), letter_signature(name).alias("name_signature"))
         .select("*", F.inline(F.concat(*[of_length(n) for n in SEGMENT_LENGTHS])))
     )

@@ -38,27 +38,45 @@ def query(function: Query) -> Query:
 # ---- inputs -----------------------------------------------------------------
 
 
+# What the queries start from: XML drops, lake tables, the station dimension.
+INPUTS: dict[str, Query] = {
+    "timetables_xml": derived.planned_documents,
+    "timetable_changes_xml": derived.change_documents,
+    "timetables": derived.timetables,
+    "timetable_changes": derived.timetable_changes,
+    "dim_station": lambda spark, sf_dir: _new_dim_station(spark, sf_dir),
+}
 _landed: dict[tuple[str, str, str], str] = {}
 
 
-def land_documents(spark, sf_dir, feed):
-    """(file_path, xml) of a feed. The documents are rendered from the test
-    tables once per application; queries then start from them as from a drop."""
-    place = (spark.sparkContext.applicationId, sf_dir, feed)
+def landed(spark, sf_dir, name):
+    """An input table, written to the shared folder once per application.
+
+    Inputs are derived from the test tables; queries then read them as they
+    would read a drop or a table, with column pruning and pushed filters.
+    """
+    place = (spark.sparkContext.applicationId, sf_dir, name)
     if place not in _landed:
-        render = derived.planned_documents if feed == layout.PLANNED_FEED else derived.change_documents
-        path = shared_dir(spark, feed)
-        render(spark, sf_dir).write.parquet(path)
+        path = shared_dir(spark, name)
+        INPUTS[name](spark, sf_dir).write.parquet(path)
         _landed[place] = path
     return spark.read.parquet(_landed[place])
 
 
 def _planned_documents(spark, sf_dir):
-    return land_documents(spark, sf_dir, layout.PLANNED_FEED)
+    return landed(spark, sf_dir, "timetables_xml")
 
 
 def _change_documents(spark, sf_dir):
-    return land_documents(spark, sf_dir, layout.CHANGE_FEED)
+    return landed(spark, sf_dir, "timetable_changes_xml")
+
+
+def _timetables(spark, sf_dir):
+    return landed(spark, sf_dir, "timetables")
+
+
+def _timetable_changes(spark, sf_dir):
+    return landed(spark, sf_dir, "timetable_changes")
 
 
 def _planned(spark, sf_dir):
@@ -78,6 +96,10 @@ def _station_rows(spark, sf_dir):
 
 
 def _dim_station(spark, sf_dir):
+    return landed(spark, sf_dir, "dim_station")
+
+
+def _new_dim_station(spark, sf_dir):
     return dimensions.dim_station(stations.flatten_stations(_station_rows(spark, sf_dir)))
 
 
@@ -206,7 +228,7 @@ def station_name_map(spark, sf_dir):
 @query
 def parquet_roundtrip(spark, sf_dir):
     root = shared_dir(spark, "lake")
-    tables.overwrite_table(derived.timetables(spark, sf_dir), root, "timetables")
+    tables.overwrite_table(_timetables(spark, sf_dir), root, "timetables")
     return tables.read_table(spark, root, "timetables")
 
 
@@ -214,7 +236,7 @@ def parquet_roundtrip(spark, sf_dir):
 def partitioned_roundtrip(spark, sf_dir):
     root = shared_dir(spark, "lake")
     tables.overwrite_by_date(
-        derived.timetables(spark, sf_dir), root, "timetables", "planned_time", sort_by="station"
+        _timetables(spark, sf_dir), root, "timetables", "planned_time", sort_by="station"
     )
     return tables.read_table(spark, root, "timetables")
 
@@ -227,7 +249,7 @@ def dim_time_upsert(spark, sf_dir):
 
 def _lake_trains(spark, sf_dir):
     """Trains of the lake table, as a dimension that exists already."""
-    rows = derived.timetables(spark, sf_dir).select(
+    rows = _timetables(spark, sf_dir).select(
         F.col("sid").alias("file_path"), F.lit(0).alias("stop_pos"), "category", "number",
         F.col("owner").alias("operator"), F.lit(None).cast("string").alias("type"),
         F.lit(None).cast("string").alias("class"),
@@ -246,7 +268,7 @@ def dim_train_upsert(spark, sf_dir):
 
 @query
 def dim_station_load(spark, sf_dir):
-    return _dim_station(spark, sf_dir)
+    return _new_dim_station(spark, sf_dir)
 
 
 @query
@@ -340,12 +362,12 @@ def delay_floor(spark, sf_dir):
 
 @query
 def date_part(spark, sf_dir):
-    return derived.timetables(spark, sf_dir).select("sid", F.to_date("planned_time").alias("date"))
+    return _timetables(spark, sf_dir).select("sid", F.to_date("planned_time").alias("date"))
 
 
 @query
 def hour_part(spark, sf_dir):
-    return derived.timetables(spark, sf_dir).select("sid", F.hour("planned_time").alias("hour"))
+    return _timetables(spark, sf_dir).select("sid", F.hour("planned_time").alias("hour"))
 
 
 @query
@@ -446,11 +468,11 @@ def haversine_distance(spark, sf_dir):
 
 @query
 def filter_station(spark, sf_dir):
-    return delays.at_station(derived.timetables(spark, sf_dir), "  ").select("sid", "station", "planned_time")
+    return delays.at_station(_timetables(spark, sf_dir), "  ").select("sid", "station", "planned_time")
 
 
 def _joined(spark, sf_dir):
-    return delays.join_planned_changes(derived.timetables(spark, sf_dir), derived.timetable_changes(spark, sf_dir))
+    return delays.join_planned_changes(_timetables(spark, sf_dir), _timetable_changes(spark, sf_dir))
 
 
 @query
@@ -464,7 +486,7 @@ def filter_not_null(spark, sf_dir):
 def filter_peak_hours(spark, sf_dir):
     ts = F.col("planned_time")
     peak = peaks.in_hours(ts, peaks.MORNING) | peaks.in_hours(ts, peaks.EVENING)
-    return derived.timetables(spark, sf_dir).where(peak).select("sid", "station", "planned_time")
+    return _timetables(spark, sf_dir).where(peak).select("sid", "station", "planned_time")
 
 
 @query
@@ -482,7 +504,7 @@ def join_planned_changes(spark, sf_dir):
 
 @query
 def peak_outer_join(spark, sf_dir):
-    planned = derived.timetables(spark, sf_dir)
+    planned = _timetables(spark, sf_dir)
     return peaks.outer_join_peaks(
         peaks.peak_average(planned, peaks.MORNING, peaks.MORNING_COLUMN),
         peaks.peak_average(planned, peaks.EVENING, peaks.EVENING_COLUMN),
@@ -541,37 +563,37 @@ def movement_messages(spark, sf_dir):
 @query
 def avg_daily_delay(spark, sf_dir):
     return delays.avg_daily_delay(
-        derived.timetables(spark, sf_dir), derived.timetable_changes(spark, sf_dir), STATION
+        _timetables(spark, sf_dir), _timetable_changes(spark, sf_dir), STATION
     )
 
 
 @query
 def overall_avg_delay(spark, sf_dir):
     return delays.overall_avg_delay(
-        derived.timetables(spark, sf_dir), derived.timetable_changes(spark, sf_dir), STATION
+        _timetables(spark, sf_dir), _timetable_changes(spark, sf_dir), STATION
     )
 
 
 @query
 def avg_daily_delay_all_stations(spark, sf_dir):
     return delays.avg_daily_delay_all_stations(
-        derived.timetables(spark, sf_dir), derived.timetable_changes(spark, sf_dir)
+        _timetables(spark, sf_dir), _timetable_changes(spark, sf_dir)
     )
 
 
 @query
 def peak_morning_avg(spark, sf_dir):
-    return peaks.peak_average(derived.timetables(spark, sf_dir), peaks.MORNING, peaks.MORNING_COLUMN)
+    return peaks.peak_average(_timetables(spark, sf_dir), peaks.MORNING, peaks.MORNING_COLUMN)
 
 
 @query
 def peak_evening_avg(spark, sf_dir):
-    return peaks.peak_average(derived.timetables(spark, sf_dir), peaks.EVENING, peaks.EVENING_COLUMN)
+    return peaks.peak_average(_timetables(spark, sf_dir), peaks.EVENING, peaks.EVENING_COLUMN)
 
 
 @query
 def peak_hours_report(spark, sf_dir):
-    return peaks.peak_hours_report(derived.timetables(spark, sf_dir))
+    return peaks.peak_hours_report(_timetables(spark, sf_dir))
 
 
 @query

@@ -298,12 +298,12 @@ def _layer(df: DataFrame, columns: dict[str, str], keep: bool = False) -> DataFr
 
 
 def timetables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _layer(table(spark, sf_dir, "events"), lake_planned_columns(SPARK))
+    return _layer(spread(table(spark, sf_dir, "events")), lake_planned_columns(SPARK))
 
 
 def timetable_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change snapshots; ``snapshot_ts`` is the time of the snapshot folder."""
-    seen = table(spark, sf_dir, "events").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3))))
+    seen = spread(table(spark, sf_dir, "events")).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3))))
     return _layer(seen.where(LAKE_SNAPSHOT_FILTER), lake_change_columns(SPARK))
 
 
