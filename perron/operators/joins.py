@@ -32,6 +32,8 @@ def spread_by_work(df: DataFrame, *keys: str) -> DataFrame:
     """One partition per shuffle partition, whatever the size.
 
     For rows of few bytes but much work: adaptive execution would merge them
-    into few tasks because it goes by bytes.
+    into few tasks because it goes by bytes. The keys are hashed once more so
+    that the exchange is not folded into an equal one below it.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, F.xxhash64(*keys))

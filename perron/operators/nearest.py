@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perron.functions import haversine_km, unit_sphere
+from perron.operators.joins import spread_by_work
 
 # Finest grid: cells of 2/16384 of the Earth's radius, about 0.8 km.
 FINEST = 14
@@ -38,51 +39,73 @@ def nearest_station(stations: DataFrame, latitude: float, longitude: float) -> D
 # place in the cell; only then do they meet the points of that cell.
 
 
-def _grid_axis(value: Column, level: int) -> Column:
-    steps = 1 << level
-    index = F.floor((value + 1) / 2 * steps).cast("long")
-    return F.least(F.greatest(index, F.lit(0).cast("long")), F.lit(steps - 1).cast("long"))
+# A grid cell is one BIGINT: level, then 20 bits for each axis.
+_AXIS_BITS = 20
+_AXIS_MASK = (1 << _AXIS_BITS) - 1
 
 
-def _cell(xyz: tuple[Column, Column, Column], level: int) -> Column:
-    return F.struct(*[_grid_axis(v, level).alias(n) for n, v in zip("xyz", xyz)])
+def _long(value: int) -> Column:
+    return F.lit(value).cast("long")
 
 
-def _coarser(cell: Column, levels: Column) -> Column:
-    return F.struct(*[F.call_function("shiftright", cell[n], levels).alias(n) for n in "xyz"])
+def _pack(level: Column, x: Column, y: Column, z: Column) -> Column:
+    high = F.shiftleft(level.cast("long"), 3 * _AXIS_BITS).bitwiseOR(F.shiftleft(x, 2 * _AXIS_BITS))
+    return high.bitwiseOR(F.shiftleft(y, _AXIS_BITS)).bitwiseOR(z)
+
+
+def _axes(cell: Column, coarser: Column) -> list[Column]:
+    """The axis numbers of a finest cell, ``coarser`` levels up."""
+    finest = [F.shiftright(cell, bits).bitwiseAND(_long(_AXIS_MASK)) for bits in (2 * _AXIS_BITS, _AXIS_BITS, 0)]
+    return [F.call_function("shiftright", axis, coarser) for axis in finest]
+
+
+def _cell(lat: Column, lon: Column) -> Column:
+    """The finest cell of a place."""
+    steps = 1 << FINEST
+
+    def axis(value: Column) -> Column:
+        return F.least(F.greatest(F.floor((value + 1) / 2 * steps).cast("long"), _long(0)), _long(steps - 1))
+
+    return _pack(F.lit(FINEST), *[axis(value) for value in unit_sphere(lat, lon)])
 
 
 def _all_levels(df: DataFrame) -> DataFrame:
     """Each row's cell on every grid level from the finest to the whole globe (0)."""
+    level = F.col("level")
     return df.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(FINEST)))).withColumn(
-        "level_cell", _coarser(F.col("cell"), F.lit(FINEST) - F.col("level"))
+        "grid", _pack(level, *_axes(F.col("cell"), F.lit(FINEST) - level))
     )
 
 
 def _candidates(points: DataFrame, stations: DataFrame) -> DataFrame:
     """(cell, station) pairs that contain the nearest station of every point of the cell."""
-    station_cells = _all_levels(stations)
-    occupied = station_cells.select("level", "level_cell").distinct()
-    finest_hit = (
+    station_cells = _all_levels(stations).drop("cell", "level")
+    level_hit = (
         _all_levels(points.select("cell").distinct())
-        .join(occupied, ["level", "level_cell"], "left_semi")
+        .join(station_cells.select("grid").distinct(), "grid", "left_semi")
         .groupBy("cell")
         .agg(F.max("level").alias("hit"))
     )
-    search_level = F.greatest(F.col("hit") - 1, F.lit(0))
-    offsets = F.array(*[F.lit(o).cast("long") for o in (-1, 0, 1)])
-    home = _coarser(F.col("cell"), F.lit(FINEST) - F.col("level"))
-    around = (
-        finest_hit.select("cell", search_level.alias("level"))
-        .withColumn("home", home)
-        .withColumn("x", F.explode(F.transform(offsets, lambda o: F.col("home.x") + o)))
-        .withColumn("y", F.explode(F.transform(offsets, lambda o: F.col("home.y") + o)))
-        .withColumn("z", F.explode(F.transform(offsets, lambda o: F.col("home.z") + o)))
-        .select("cell", "level", F.struct("x", "y", "z").alias("level_cell"))
+    offsets = F.array(
+        *[
+            F.struct(_long(dx).alias("dx"), _long(dy).alias("dy"), _long(dz).alias("dz"))
+            for dx in (-1, 0, 1)
+            for dy in (-1, 0, 1)
+            for dz in (-1, 0, 1)
+        ]
     )
-    return around.join(station_cells.drop("cell"), ["level", "level_cell"]).select(
-        "cell", "station_key", "station_name", "latitude", "longitude", "sx", "sy", "sz"
+    level = F.col("level")
+    home = _axes(F.col("cell"), F.lit(FINEST) - level)
+    axes = [axis + F.col(f"o.{offset}") for axis, offset in zip(home, ("dx", "dy", "dz"))]
+    last = F.call_function("shiftleft", _long(1), level) - 1
+    inside = axes[0].between(_long(0), last) & axes[1].between(_long(0), last) & axes[2].between(_long(0), last)
+    around = (
+        spread_by_work(level_hit, "cell")
+        .select("cell", F.greatest(F.col("hit") - 1, F.lit(0)).alias("level"), F.explode(offsets).alias("o"))
+        .where(inside)
+        .select("cell", _pack(level, *axes).alias("grid"))
     )
+    return around.join(station_cells, "grid").drop("grid")
 
 
 def _contenders(candidates: DataFrame) -> DataFrame:
@@ -92,11 +115,13 @@ def _contenders(candidates: DataFrame) -> DataFrame:
     centre than the closest one by more than 2 r loses everywhere.
     """
     steps = 1 << FINEST
+    axes = _axes(F.col("cell"), F.lit(0))
 
-    def offset(axis: str) -> Column:
-        return F.pow((F.col(f"cell.{axis}") + 0.5) / steps * 2 - 1 - F.col(f"s{axis}"), F.lit(2.0))
+    def offset(i: int) -> Column:
+        gap = (axes[i] + 0.5) / steps * 2 - 1 - F.col(("sx", "sy", "sz")[i])
+        return gap * gap
 
-    from_centre = F.sqrt(offset("x") + offset("y") + offset("z"))
+    from_centre = F.sqrt(offset(0) + offset(1) + offset(2))
     closest = F.min("from_centre").over(Window.partitionBy("cell"))
     reach = 3**0.5 / steps
     return (
@@ -110,7 +135,7 @@ def _contenders(candidates: DataFrame) -> DataFrame:
 def nearest_station_batch(points: DataFrame, stations: DataFrame) -> DataFrame:
     """The closest station of every (point_id, lat, lon) row, exactly."""
     lat, lon = F.col("lat"), F.col("lon")
-    placed = points.withColumn("cell", _cell(unit_sphere(lat, lon), FINEST))
+    placed = points.withColumn("cell", _cell(lat, lon))
     # stations at one spot are one candidate: the lowest key wins any tie
     spots = (
         located(stations)
@@ -118,9 +143,10 @@ def nearest_station_batch(points: DataFrame, stations: DataFrame) -> DataFrame:
         .agg(F.min_by(F.struct("station_key", "station_name"), "station_key").alias("s"))
         .select("latitude", "longitude", "s.*")
     )
-    sphere = unit_sphere(F.col("latitude"), F.col("longitude"))
-    spots = spots.withColumns({"cell": _cell(sphere, FINEST), "sx": sphere[0], "sy": sphere[1], "sz": sphere[2]})
-    distance = haversine_km(lat, lon, F.col("latitude"), F.col("longitude"))
+    latitude, longitude = F.col("latitude"), F.col("longitude")
+    sx, sy, sz = unit_sphere(latitude, longitude)
+    spots = spots.withColumns({"cell": _cell(latitude, longitude), "sx": sx, "sy": sy, "sz": sz})
+    distance = haversine_km(lat, lon, latitude, longitude)
     return (
         placed.join(_contenders(_candidates(placed, spots)), "cell")
         .select("point_id", "station_key", "station_name", distance.alias("distance_km"))
