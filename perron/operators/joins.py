@@ -8,21 +8,39 @@ from pyspark.sql import functions as F
 _HASH = "__key_hash"
 
 
-def left_lookup(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join to a table that has one row per key.
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi-join whose hot left keys can be split over tasks.
 
-    The lookup table is usually an aggregate, and a join that reuses the
-    aggregate's partitioning cannot be split when a left key is hot. A hash of
-    the keys as one more join column gives the (already reduced) lookup side an
+    The right side is usually an aggregate or a window result, and a join that
+    reuses its partitioning cannot be split when a left key is hot. A hash of
+    the keys as one more join column gives the (already reduced) right side an
     exchange of its own, so adaptive execution can split the hot partition of
     the left side - or turn the join into a broadcast once it has measured the
-    lookup side to be small.
+    right side to be small.
     """
     key_hash = F.xxhash64(*keys)
-    joined = left.withColumn(_HASH, key_hash).join(right.withColumn(_HASH, key_hash), [_HASH, *keys], "left")
+    joined = left.withColumn(_HASH, key_hash).join(right.withColumn(_HASH, key_hash), [_HASH, *keys], how)
     return joined.drop(_HASH)
 
 
+def left_lookup(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join to a table that has one row per key."""
+    return split_join(left, right, keys, "left")
+
+
+def semi_join(left: DataFrame, members: DataFrame, key: str, small: int = 100_000) -> DataFrame:
+    """Left rows whose key is a member.
+
+    Members are counted first, up to ``small``: so few are broadcast and the
+    left side, which may carry whole documents, is not shuffled at all. More of
+    them are joined by shuffle.
+    """
+    members = members.select(key).where(F.col(key).isNotNull()).distinct()
+    if members.limit(small + 1).count() <= small:
+        return left.join(F.broadcast(members), key, "left_semi")
+    return split_join(left, members, [key], "left_semi")
+
+
 def new_members(candidates: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Distinct candidate keys that ``existing`` does not hold yet."""
     return candidates.where(F.col(key).isNotNull()).join(existing.select(key), key, "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perron.functions import haversine_km, unit_sphere
-from perron.operators.joins import spread_by_work
+from perron.operators.joins import split_join, spread_by_work
 
 # Finest grid: cells of 2/16384 of the Earth's radius, about 0.8 km.
 FINEST = 14
@@ -148,7 +148,7 @@ def nearest_station_batch(points: DataFrame, stations: DataFrame) -> DataFrame:
     spots = spots.withColumns({"cell": _cell(latitude, longitude), "sx": sx, "sy": sy, "sz": sz})
     distance = haversine_km(lat, lon, latitude, longitude)
     return (
-        placed.join(_contenders(_candidates(placed, spots)), "cell")
+        split_join(placed, _contenders(_candidates(placed, spots)), ["cell"], "inner")
         .select("point_id", "station_key", "station_name", distance.alias("distance_km"))
         .groupBy("point_id")
         .agg(

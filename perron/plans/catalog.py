@@ -625,7 +625,7 @@ def avg_delay_one_station(spark, sf_dir):
 
 @query
 def cancelled_in_period(spark, sf_dir):
-    return reports.cancelled_in_period(_warehouse(spark, sf_dir).fact, *PERIOD)
+    return reports.cancelled_in_period(_warehouse(spark, sf_dir).movements, *PERIOD)
 
 
 @query
@@ -679,7 +679,9 @@ def stream_xml_ingest(spark, sf_dir):
 def lake_build(spark, sf_dir):
     planned, changes = _planned_documents(spark, sf_dir), _change_documents(spark, sf_dir)
     root = shared_dir(spark, "lake")
-    kept = lake.restrict_to_planned_periods(changes, planned)
+    kept = lake.restrict_to_planned_periods(
+        changes, planned.select(layout.period_of(F.col("file_path")).alias("period"))
+    )
     tables.overwrite_table(xml.lake_timetables(xml.parse_planned(planned)), root, "timetables")
     tables.overwrite_table(xml.lake_changes(xml.parse_changes(kept)), root, "timetable_changes")
     return checks.load_counts(

@@ -12,7 +12,7 @@ import tarfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MEMBER_SCHEMA = "file_path string, xml string"
@@ -20,6 +20,11 @@ MEMBERS_PER_BATCH = 256
 BYTES_PER_BATCH = 16 << 20
 
 
+def period_of(path: Column) -> Column:
+    """``<feed>/<period>.tar.gz`` holds the documents of one period."""
+    return F.replace(F.substring_index(path, "/", -1), F.lit(".tar.gz"), F.lit(""))
+
+
 def read_archives(spark: SparkSession, root: str, feed: str) -> DataFrame:
     """(path, content) of every archive directly or deeper below the feed."""
     return (

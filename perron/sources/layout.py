@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perron.functions import parse_time_folder, station_from_filename
+from perron.operators.joins import semi_join
 
 PLANNED_FEED = "timetables"
 CHANGE_FEED = "timetable_changes"
@@ -65,7 +66,7 @@ def file_inventory(files: DataFrame) -> DataFrame:
 
 def in_planned_periods(changes: DataFrame, planned: DataFrame) -> DataFrame:
     """Change rows of the periods that the planned feed has; both sides need ``period``."""
-    return changes.join(planned.select("period").distinct(), "period", "left_semi")
+    return semi_join(changes, planned, "period")
 
 
 def files_per_period(planned: DataFrame, changes: DataFrame) -> DataFrame:

@@ -91,6 +91,7 @@ def test_inventory_and_periods(spark, root):
 
 def test_lake_from_files_archives_and_stream(spark, root, tmp_path):
     lake.build_lake(spark, root, str(tmp_path / "files"))
+    lake.build_lake(spark, root, str(tmp_path / "dated"), by_date=True)
     packed = write_archives(type(tmp_path)(root), tmp_path / "packed")
     lake.build_lake(spark, packed, str(tmp_path / "archives"), archived=True)
     for feed in layout.FEEDS:
@@ -103,6 +104,8 @@ def test_lake_from_files_archives_and_stream(spark, root, tmp_path):
     }
     assert read["files", "timetables"] == read["archives", "timetables"] == read["stream", "timetables"]
     assert read["files", "timetable_changes"] == read["archives", "timetable_changes"]
+    dated = tables.read_table(spark, str(tmp_path / "dated"), "timetables").drop("service_date")
+    assert rows(dated) == read["files", "timetables"]
     # the lake skips the change period that has no planned feed; the stream takes every file
     extra = read["stream", "timetable_changes"] - read["files", "timetable_changes"]
     assert {r[0] for r in extra} == {"q"}

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from perron.operators import delays, latest, nearest, peaks, resolve
-from perron.operators.joins import left_lookup
+from perron.operators.joins import left_lookup, semi_join
 from perron.plans import catalog
 from perron.sources import derived, tables, xml
 
@@ -108,12 +108,45 @@ def test_hot_stop_is_split_in_the_change_lookup(spark):
     assert len(rows) == 60000 and all(r.c is not None for r in rows)
 
 
+def test_hot_place_is_split_in_the_nearest_search(spark):
+    hot = F.col("id") % 3 == 0
+    points = spark.range(0, 60000, 1, 16).select(
+        F.col("id").alias("point_id"),
+        F.when(hot, F.lit(52.5)).otherwise(52.0 + F.col("id") / 60000).alias("lat"),
+        F.when(hot, F.lit(13.4)).otherwise(13.0 + F.col("id") / 60000).alias("lon"),
+    )
+    stations = spark.range(40).select(
+        F.col("id").alias("station_key"), F.concat(F.lit("s"), "id").alias("station_name"),
+        (52.0 + F.col("id") / 40).alias("latitude"), (13.0 + F.col("id") / 40).alias("longitude"),
+    )
+    with settings(spark, **NO_BROADCAST, **TINY_SKEW):
+        found = nearest.nearest_station_batch(points, stations)
+        assert len(found.collect()) == 60000
+        assert "skew=true" in plan(found)
+
+
+def test_report_prunes_dates(spark, sf_dir):
+    with settings(spark, spark__sql__maxMetadataStringLength="10000"):
+        text = physical(catalog.QUERIES["cancelled_in_period"](spark, sf_dir))
+    assert re.search(r"PartitionFilters: \[.*service_date.*\], PushedFilters: \[.*is_cancelled", text)
+
+
 def test_changes_combine_before_the_shuffle(spark, sf_dir):
     changes = xml.warehouse_changes(xml.parse_changes(catalog.landed(spark, sf_dir, "timetable_changes_xml")))
     text = physical(latest.latest_changes(changes))
     assert text.index("Exchange") < text.index("partial_max_by")
 
 
+def test_semi_join_beyond_the_broadcast_bound(spark):
+    left = spark.range(1000).select((F.col("id") % 50).alias("k"), "id")
+    members = spark.range(10).select(F.col("id").alias("k"))
+    small, large = semi_join(left, members, "k"), semi_join(left, members, "k", small=5)
+    assert "BroadcastHashJoin" in physical(small)
+    with settings(spark, **NO_BROADCAST):
+        assert "SortMergeJoin" in physical(large)
+        assert small.count() == large.count() == 200
+
+
 def test_results_do_not_depend_on_the_join_strategy(spark, sf_dir):
     names = ("station_resolution", "nearest_station_batch", "left_latest_change", "avg_daily_delay_all_stations")
     plain = {n: sorted(map(str, catalog.QUERIES[n](spark, sf_dir).collect())) for n in names}
