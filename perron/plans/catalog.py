@@ -44,6 +44,7 @@ INPUTS: dict[str, Query] = {
     "timetable_changes_xml": derived.change_documents,
     "timetables": derived.timetables,
     "timetable_changes": derived.timetable_changes,
+    "timetables_archives": lambda spark, sf_dir: archives.pack_documents(_planned_documents(spark, sf_dir)),
     "dim_station": lambda spark, sf_dir: _new_dim_station(spark, sf_dir),
 }
 _landed: dict[tuple[str, str, str], str] = {}
@@ -180,7 +181,7 @@ def change_period_semi_join(spark, sf_dir):
 
 @query
 def archive_member_scan(spark, sf_dir):
-    packed = archives.pack_documents(_planned_documents(spark, sf_dir))
+    packed = landed(spark, sf_dir, "timetables_archives")
     return xml.lake_timetables(xml.parse_planned(archives.archive_documents(packed)))
 
 

@@ -138,6 +138,10 @@ def _layered(layers, source: str, star: bool = False) -> str:
     return sql
 
 
+def _numbered(source: str, count: str) -> str:
+    return f"(select *, unnest(range(1, ({count}) + 1))::int as k from {source})"
+
+
 def _path(feed: str, period: str, folder: str) -> str:
     return (
         f"'/part=' || cast(part as varchar) || '/{feed}/' || {period} || '/' || {folder} || '/' || "
@@ -192,7 +196,7 @@ TABLES = {
     "snaps": (
         _select(
             _SNAP_REST,
-            f"({_select(_SNAP_FIRST, f'(select stops.*, r.k::int as k from stops, range(1, 4) r(k)) where {derived.SNAPSHOT_FILTER}', True)})",
+            f"({_select(_SNAP_FIRST, _numbered('stops', derived.SNAPSHOTS), True)})",
             True,
         )
     ),
@@ -321,7 +325,7 @@ TABLES = {
     "tt": _select(derived.lake_planned_columns(DUCKDB), "events"),
     "ch": _select(
         derived.lake_change_columns(DUCKDB),
-        f"(select events.*, r.k::int as k from events, range(1, 4) r(k)) where {derived.LAKE_SNAPSHOT_FILTER}",
+        _numbered("events", derived.LAKE_SNAPSHOTS),
     ),
     "pairs": (
         "select *, (epoch(ch.changed_time) - epoch(tt.planned_time)) / 60 as delay_minutes "
@@ -512,8 +516,8 @@ SQL = {
     "movement_messages": (
         f"select b.movement_id, b.sid, b.event_type, message_sequence, b.message_key, message_code, priority from "
         f"(select sid, event_type, {', '.join(f'{s} as {n}' for n, s in derived.bridge_columns().items())} from "
-        "(select movements.*, md5(file_path || '|' || stop_pos || '|' || event_type || '|' || event_pos) as movement_id, "
-        f"r.k::int as k from movements, range(1, 4) r(k)) where {derived.BRIDGE_FILTER}) b join "
+        "(select *, md5(file_path || '|' || stop_pos || '|' || event_type || '|' || event_pos) as movement_id "
+        f"from {_numbered('movements', derived.MESSAGES)})) b join "
         f"({_select(derived.message_columns(DUCKDB), 'orders')}) d using (message_key)"
     ),
     "avg_daily_delay": _DAILY,

@@ -167,7 +167,8 @@ def snapshot_layers(d: Dialect) -> list[dict[str, str]]:
     return [seen, change]
 
 
-SNAPSHOT_FILTER = "e % 3 <> 0 or k = 1"
+# Stops are seen in one or three snapshots.
+SNAPSHOTS = "case when e % 3 = 0 then 1 else 3 end"
 
 
 def changed_time_text(d: Dialect, tag: str, index: int) -> str:
@@ -235,7 +236,8 @@ def bridge_columns() -> dict[str, str]:
     }
 
 
-BRIDGE_FILTER = "k <= cast(substr(sid, 2) as bigint) % 3 + 1"
+# Movements carry one to three messages.
+MESSAGES = "cast(substr(sid, 2) as bigint) % 3 + 1"
 
 
 # ---- lake tables ------------------------------------------------------------
@@ -276,7 +278,7 @@ def lake_change_columns(d: Dialect) -> dict[str, str]:
     }
 
 
-LAKE_SNAPSHOT_FILTER = "event_id % 3 <> 0 or k = 1"
+LAKE_SNAPSHOTS = "case when event_id % 3 = 0 then 1 else 3 end"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -297,14 +299,19 @@ def _layer(df: DataFrame, columns: dict[str, str], keep: bool = False) -> DataFr
     return df.selectExpr(*kept, *[f"{sql} as {name}" for name, sql in columns.items()])
 
 
+def _numbered(df: DataFrame, count: str) -> DataFrame:
+    """Each row ``count`` times, numbered ``k`` from 1."""
+    return df.withColumn("k", F.explode(F.expr(f"sequence(1, cast({count} as int))")))
+
+
 def timetables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _layer(spread(table(spark, sf_dir, "events")), lake_planned_columns(SPARK))
 
 
 def timetable_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change snapshots; ``snapshot_ts`` is the time of the snapshot folder."""
-    seen = spread(table(spark, sf_dir, "events")).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3))))
-    return _layer(seen.where(LAKE_SNAPSHOT_FILTER), lake_change_columns(SPARK))
+    seen = _numbered(spread(table(spark, sf_dir, "events")), LAKE_SNAPSHOTS)
+    return _layer(seen, lake_change_columns(SPARK))
 
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,8 +322,7 @@ def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = stops(spark, sf_dir).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3))))
-    df = df.where(SNAPSHOT_FILTER)
+    df = _numbered(stops(spark, sf_dir), SNAPSHOTS)
     for columns in snapshot_layers(SPARK):
         df = _layer(df, columns, keep=True)
     return df
@@ -502,8 +508,7 @@ def messages(spark: SparkSession, sf_dir: str):
     """(movements -> bridge, dim_message)."""
 
     def bridge(movements: DataFrame) -> DataFrame:
-        numbered = movements.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3))))
-        return _layer(numbered.where(BRIDGE_FILTER), bridge_columns())
+        return _layer(_numbered(movements, MESSAGES), bridge_columns())
 
     return bridge, _layer(table(spark, sf_dir, "orders"), message_columns(SPARK))
 
