@@ -10,6 +10,11 @@ from perron.operators.joins import split_join, spread_by_work
 
 # Finest grid: cells of 2/16384 of the Earth's radius, about 0.8 km.
 FINEST = 14
+STEPS = 1 << FINEST
+# From the centre of a finest cell to its corners.
+REACH = 3**0.5 / STEPS
+# Far above rounding errors, far below a metre's effect on the result.
+SLACK = 1e-9
 
 
 def located(stations: DataFrame) -> DataFrame:
@@ -32,11 +37,12 @@ def nearest_station(stations: DataFrame, latitude: float, longitude: float) -> D
 # ---- many points ------------------------------------------------------------
 #
 # Points and stations are placed in nested cubic grids around the unit sphere.
-# If a point's own cell of side s holds a station, the nearest one is within
-# sqrt(3) * s < 2 * s, hence inside the 27 cells of side 2 * s around the
-# point. Candidate stations are worked out once per occupied finest cell (there
-# are only so many on Earth) and cut down to those that are nearest for some
-# place in the cell; only then do they meet the points of that cell.
+# For each finest cell that holds points, some station found in the same cell of
+# any coarser grid bounds how far the nearest one can be. That bound picks the
+# grid whose 27 cells around the place must contain every contender. Contenders
+# are worked out once per finest cell (there are only so many on Earth) and cut
+# down to those that are nearest for some place in the cell; only then do they
+# meet the points of that cell.
 
 
 # A grid cell is one BIGINT: level, then 20 bits for each axis.
@@ -61,10 +67,9 @@ def _axes(cell: Column, coarser: Column) -> list[Column]:
 
 def _cell(lat: Column, lon: Column) -> Column:
     """The finest cell of a place."""
-    steps = 1 << FINEST
 
     def axis(value: Column) -> Column:
-        return F.least(F.greatest(F.floor((value + 1) / 2 * steps).cast("long"), _long(0)), _long(steps - 1))
+        return F.least(F.greatest(F.floor((value + 1) / 2 * STEPS).cast("long"), _long(0)), _long(STEPS - 1))
 
     return _pack(F.lit(FINEST), *[axis(value) for value in unit_sphere(lat, lon)])
 
@@ -77,15 +82,37 @@ def _all_levels(df: DataFrame) -> DataFrame:
     )
 
 
+def _from_centre() -> Column:
+    """Straight distance from the middle of ``cell`` to (sx, sy, sz)."""
+    axes = _axes(F.col("cell"), F.lit(0))
+
+    def squared(i: int) -> Column:
+        gap = (axes[i] + 0.5) / STEPS * 2 - 1 - F.col(("sx", "sy", "sz")[i])
+        return gap * gap
+
+    return F.sqrt(squared(0) + squared(1) + squared(2))
+
+
 def _candidates(points: DataFrame, stations: DataFrame) -> DataFrame:
-    """(cell, station) pairs that contain the nearest station of every point of the cell."""
+    """(cell, station) pairs that contain the nearest station of every point of the cell.
+
+    A station is nearest for some place of a cell only if its distance from the
+    centre exceeds the smallest such distance by no more than twice the reach.
+    """
     station_cells = _all_levels(stations).drop("cell", "level")
-    level_hit = (
+    samples = (
+        station_cells.groupBy("grid")
+        .agg(F.min_by(F.struct("sx", "sy", "sz"), "station_key").alias("s"))
+        .select("grid", "s.*")
+    )
+    bounds = (
         _all_levels(points.select("cell").distinct())
-        .join(station_cells.select("grid").distinct(), "grid", "left_semi")
+        .join(samples, "grid")
         .groupBy("cell")
-        .agg(F.max("level").alias("hit"))
+        .agg((F.min(_from_centre()) + 2 * REACH + SLACK).alias("radius"))
     )
+    # the finest grid whose cells are at least as wide as the radius
+    search_level = F.greatest(F.floor(F.log2(2 / F.col("radius"))).cast("int"), F.lit(0))
     offsets = F.array(
         *[
             F.struct(_long(dx).alias("dx"), _long(dy).alias("dy"), _long(dz).alias("dz"))
@@ -100,8 +127,8 @@ def _candidates(points: DataFrame, stations: DataFrame) -> DataFrame:
     last = F.call_function("shiftleft", _long(1), level) - 1
     inside = axes[0].between(_long(0), last) & axes[1].between(_long(0), last) & axes[2].between(_long(0), last)
     around = (
-        spread_by_work(level_hit, "cell")
-        .select("cell", F.greatest(F.col("hit") - 1, F.lit(0)).alias("level"), F.explode(offsets).alias("o"))
+        spread_by_work(bounds, "cell")
+        .select("cell", search_level.alias("level"), F.explode(offsets).alias("o"))
         .where(inside)
         .select("cell", _pack(level, *axes).alias("grid"))
     )
@@ -109,25 +136,12 @@ def _candidates(points: DataFrame, stations: DataFrame) -> DataFrame:
 
 
 def _contenders(candidates: DataFrame) -> DataFrame:
-    """Drop stations that cannot be nearest anywhere in the cell.
-
-    With r the reach of a cell around its centre, a station farther from the
-    centre than the closest one by more than 2 r loses everywhere.
-    """
-    steps = 1 << FINEST
-    axes = _axes(F.col("cell"), F.lit(0))
-
-    def offset(i: int) -> Column:
-        gap = (axes[i] + 0.5) / steps * 2 - 1 - F.col(("sx", "sy", "sz")[i])
-        return gap * gap
-
-    from_centre = F.sqrt(offset(0) + offset(1) + offset(2))
+    """Drop stations that cannot be nearest anywhere in the cell."""
     closest = F.min("from_centre").over(Window.partitionBy("cell"))
-    reach = 3**0.5 / steps
     return (
-        candidates.withColumn("from_centre", from_centre)
+        candidates.withColumn("from_centre", _from_centre())
         .withColumn("closest", closest)
-        .where(F.col("from_centre") <= F.col("closest") + 2 * reach + 1e-9)
+        .where(F.col("from_centre") <= F.col("closest") + 2 * REACH + SLACK)
         .drop("from_centre", "closest", "sx", "sy", "sz")
     )
 

@@ -8,13 +8,18 @@ archive as a whole.
 from __future__ import annotations
 
 import io
+import sys
 import tarfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Workers get the functions below with the job; the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MEMBER_SCHEMA = "file_path string, xml string"
 MEMBERS_PER_BATCH = 256
 BYTES_PER_BATCH = 16 << 20
