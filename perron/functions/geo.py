@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# IUGG mean radius
 EARTH_RADIUS_KM = 6371.0088
 
 

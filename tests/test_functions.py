@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from perron import functions as fn
 from perron.functions.text import CATEGORY_LABELS, OPERATOR_NAMES
+from perron.operators import delays
 
 
 def values(spark, inputs, column, kind="string"):
@@ -131,3 +132,8 @@ def test_first_element(spark):
 def test_haversine(spark):
     distance = fn.haversine_km(F.lit(52.52), F.lit(13.405), F.lit(52.525), F.lit(13.369))
     assert spark.range(1).select(distance).first()[0] == pytest.approx(2.49828819961610, abs=1e-9)
+
+
+def test_blank_station_means_the_default():
+    assert delays.station_or_default(" Ostkreuz ") == "Ostkreuz"
+    assert {delays.station_or_default(x) for x in (None, "", "  ")} == {delays.DEFAULT_STATION}

@@ -6,23 +6,29 @@ from pyspark.sql import functions as F
 from feed import write_feed
 from perron.operators import keys, latest
 from perron.plans import dimensions, reports, schema_check, warehouse
-from perron.sources import stations, xml
+from perron.sources import layout, stations, xml
 
 
 @pytest.fixture(scope="module")
-def documents(spark, tmp_path_factory):
-    root = write_feed(tmp_path_factory.mktemp("feed"))
+def feed_root(tmp_path_factory):
+    return write_feed(tmp_path_factory.mktemp("feed"))
+
+
+@pytest.fixture(scope="module")
+def documents(spark, feed_root):
+    root = feed_root
     return [xml.read_documents(spark, root, feed) for feed in ("timetables", "timetable_changes")]
 
 
 @pytest.fixture(scope="module")
-def house(spark, documents, tmp_path_factory):
+def house(spark, documents, feed_root, tmp_path_factory):
     text = '{"result":[{"number":5,"name":"Berlin Südkreuz"},{"number":6,"name":"Elsewhere"}]}'
     station_rows = stations.parse_station_documents(spark.createDataFrame([("s", text)], "file_path string, json string"))
     root = str(tmp_path_factory.mktemp("house"))
     warehouse.build_warehouse(spark, *documents, station_rows, root)
-    # a rerun changes nothing
-    return warehouse.build_warehouse(spark, *documents, station_rows, root)
+    # a rerun changes nothing, also with the file list given
+    files = tuple(layout.list_files(spark, feed_root, feed) for feed in layout.FEEDS)
+    return warehouse.build_warehouse(spark, *documents, station_rows, root, files=files)
 
 
 def test_fact(house):
