@@ -126,15 +126,18 @@ def host_rates(judged: DataFrame, host: str) -> DataFrame:
         F.coalesce(F.var_samp(rate), F.lit(0.0)).alias("spread"),
         F.avg(1 / F.col("host_docs")).alias("per_doc"),
     )
-    noise = F.col("mean") * (1 - F.col("mean"))
-    between = F.col("spread") - noise * F.col("per_doc")
-    # Var = m (1 - m) / (s + 1); infinite s: no difference between hosts
-    size = F.when(between > 0, F.greatest(noise / between - 1, F.lit(0.0)))
-    prior = moments.select("mean", size.alias("size"))
-    # one row of prior for all hosts
-    hosts = hosts.withColumn("one", F.lit(1)).join(F.broadcast(prior.withColumn("one", F.lit(1))), "one")
-    shrunk = (F.col("host_failed") + F.col("mean") * F.col("size")) / (F.col("host_docs") + F.col("size"))
-    return hosts.select("host", "host_docs", "host_failed", F.coalesce(shrunk, "mean").alias("host_rate"))
+    prior = moments.first()  # three numbers
+    mean = prior["mean"] or 0.0
+    noise = mean * (1 - mean)
+    between = prior["spread"] - noise * (prior["per_doc"] or 0.0)
+    if between > 0:
+        # Var = m (1 - m) / (s + 1)
+        size = max(noise / between - 1, 0.0)
+        shrunk = (F.col("host_failed") + F.lit(mean) * size) / (F.col("host_docs") + size)
+    else:
+        # no difference between hosts
+        shrunk = F.lit(mean)
+    return hosts.select("host", "host_docs", "host_failed", shrunk.alias("host_rate"))
 
 
 def judge(docs: DataFrame, host: str = "source", text: str = "text", rules: Rules = Rules(), carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -147,9 +150,9 @@ def judge(docs: DataFrame, host: str = "source", text: str = "text", rules: Rule
     taken = [F.col(c) for c in carry] + [F.col(host).alias("q_host"), F.col(text).alias("q_text")]
     stats = measured(docs.select(*taken), "q_text").drop("q_text")
     stats = saved(stats.withColumn("base_failed", base_failed(rules)), "quality-measures")
-    hosts = host_rates(stats, "q_host").withColumnRenamed("host", "q_host")
+    hosts = saved(host_rates(stats, "q_host").select(F.col("host").alias("q_host"), "host_rate"), "quality-hosts")
     verdict = F.coalesce(F.col("host_rate") <= rules.max_host_rate, F.lit(True))
-    joined = stats.join(hosts.select("q_host", "host_rate"), "q_host", "left")
+    joined = stats.join(bounded_broadcast(hosts), "q_host", "left")
     return joined.select(
         *carry,
         *[F.col(f"q_{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
