@@ -69,7 +69,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", carry:
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(shared.value, pattern)
-        for batch in pieces(batches, "b_text", 8 << 20):
+        for batch in pieces(batches, "b_text"):
             ids = [enc.encode_to_numpy(t, allowed_special=set(), disallowed_special=()).astype("<u4") for t in batch.column("b_text").to_pylist()]
             columns = [batch.column(c) for c in batch.schema.names if c != "b_text"]
             columns += [pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64())]
@@ -157,8 +157,8 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, begins = token_bytes(shared.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
                 texts = [None if b is None else decode_ids(np.frombuffer(b, "<u4").astype(np.int64), table, begins) for b in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, "decoded"])
 
