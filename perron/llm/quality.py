@@ -165,13 +165,14 @@ def judge(docs: DataFrame, host: str = "source", text: str = "text", rules: Rule
 def kept_documents(docs: DataFrame, host: str = "source", text: str = "text", rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that pass, with the columns of ``docs``.
 
-    The measures are taken once to judge the hosts, and again, narrowly, while
-    the rows are filtered: texts are not shuffled.
+    Measured rows are stored once; hosts are judged from their narrow columns, and
+    texts are not shuffled. The table also keeps the optimizer from pushing the
+    verdict through the measures, which would multiply their expressions.
     """
     rows = docs.select(F.struct("*").alias("q_row"), F.col(host).alias("q_host"), F.col(text).alias("q_text"))
-    stats = measured(docs.select(F.col(host).alias("q_host"), F.col(text).alias("q_text")), "q_text").drop("q_text")
+    stats = measured(rows, "q_text").drop("q_text")
     stats = saved(stats.withColumn("base_failed", base_failed(rules)), "quality-measures")
     bad = host_rates(stats, "q_host").filter(F.col("host_rate") > rules.max_host_rate).select(F.col("host").alias("q_host"))
     bad = saved(bad, "quality-hosts")
-    good = measured(rows, "q_text").filter(~base_failed(rules)).select("q_host", "q_row")
+    good = stats.filter("not base_failed").select("q_host", "q_row")
     return good.join(bounded_broadcast(bad), "q_host", "left_anti").select("q_row.*")
