@@ -16,7 +16,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 5
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True

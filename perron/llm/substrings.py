@@ -28,9 +28,9 @@ from perron.llm.hashing import U64, Words, mix, pieces, text_bytes, window_hashe
 from perron.llm.tables import saved, task_count
 
 WINDOW = 13
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 # Windows per shard, and counters per row of its sketch: loaded to a quarter.
-SHARD_WINDOWS, COUNTER_BITS = 2 << 20, 23
+SHARD_WINDOWS, COUNTER_BITS = 1 << 20, 22
 
 
 # ---- coding -----------------------------------------------------------------
