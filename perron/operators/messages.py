@@ -10,8 +10,4 @@ def movement_messages(fact: DataFrame, bridge: DataFrame, messages: DataFrame) -
 
     Rows are not collected into arrays: a movement may carry any number.
     """
-    return (
-        bridge.join(messages, "message_key")
-        .join(fact, "movement_id")
-        .sortWithinPartitions("movement_id", "message_sequence")
-    )
+    return bridge.join(messages, "message_key").join(fact, "movement_id")

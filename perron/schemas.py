@@ -72,10 +72,10 @@ DIM_TIME = (
     "weekday int, is_weekend boolean"
 )
 DIM_MESSAGE = (
-    "message_key int, message_id string, message_type string, message_category string, message_code string, "
+    "message_key bigint, message_id string, message_type string, message_category string, message_code string, "
     "priority int, timestamp timestamp_ntz, timestamp_tts string, valid_from timestamp_ntz, valid_to timestamp_ntz"
 )
-BRIDGE_MOVEMENT_MESSAGES = "movement_id string, message_key int, message_sequence smallint"
+BRIDGE_MOVEMENT_MESSAGES = "movement_id string, message_key bigint, message_sequence smallint"
 FACT_TRAIN_MOVEMENT = (
     "movement_id string, station_key bigint, train_key bigint, time_key bigint, event_type string, "
     "event_status string, planned_time timestamp_ntz, actual_time timestamp_ntz, planned_platform string, "

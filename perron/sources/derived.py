@@ -213,7 +213,7 @@ def delay_columns(d: Dialect) -> dict[str, str]:
 def message_columns(d: Dialect) -> dict[str, str]:
     """``dim_message`` over ``orders``: one message per order."""
     return {
-        "message_key": "cast(o_orderkey as int)",
+        "message_key": "cast(o_orderkey as bigint)",
         "message_id": "'m' || cast(o_orderkey as string)",
         "message_type": "case when o_orderkey % 3 = 0 then 'h' else 'd' end",
         "message_category": "o_orderstatus",
@@ -231,7 +231,7 @@ def bridge_columns() -> dict[str, str]:
     number = "cast(substr(sid, 2) as bigint)"
     return {
         "movement_id": "movement_id",
-        "message_key": f"cast(({number} * 3 + k) % 1000 as int)",
+        "message_key": f"cast({number} * 3 + k as bigint)",
         "message_sequence": "cast(k as smallint)",
     }
 
