@@ -279,6 +279,25 @@ def fact_build(spark, sf_dir):
     return house.fact
 
 
+def _drop(documents, number: int):
+    """Two drops by snapshot folder: files of one folder come together."""
+    second = F.crc32(layout.folder_of(F.col("file_path"))) % 2 == 1
+    return documents.where(second if number else ~second)
+
+
+@query
+def warehouse_two_drops(spark, sf_dir):
+    """The fact after two loads, by names: keys depend on the order of loads."""
+    root = shared_dir(spark, "warehouse")
+    for number in range(2):
+        documents = [_drop(d(spark, sf_dir), number) for d in (_planned_documents, _change_documents)]
+        house = warehouse.build_warehouse(spark, *documents, _station_rows(spark, sf_dir), root)
+    station = house.dim_station.select("station_key", "station_number", "station_name", "eva_number")
+    train = house.dim_train.select("train_key", "train_id")
+    fact = house.fact.join(station, "station_key", "left").join(train, "train_key", "left")
+    return fact.drop("station_key", "train_key")
+
+
 @query
 def surrogate_key(spark, sf_dir):
     return dimensions.new_dim_train(_xml_trains(spark, sf_dir)).select("train_id", "train_key")
@@ -670,8 +689,8 @@ def stream_xml_ingest(spark, sf_dir):
     root, target = shared_dir(spark, "drop"), shared_dir(spark, "lake")
     feed = layout.PLANNED_FEED
     # one document per line: a Spark writer cannot name a file per document
-    _planned_documents(spark, sf_dir).select("xml").repartition(16).write.text(f"{root}/{feed}")
-    documents = ingest.stream_documents(spark, root, feed, files_per_batch=4, pattern="*.txt", per_line=True)
+    _planned_documents(spark, sf_dir).select("xml").write.text(f"{root}/{feed}")
+    documents = ingest.stream_documents(spark, root, feed, pattern="*.txt", per_line=True)
     ingest.ingest_feed(documents, feed, target, f"{target}/_progress").awaitTermination()
     return tables.read_table(spark, target, feed)
 
@@ -683,8 +702,17 @@ def lake_build(spark, sf_dir):
     kept = lake.restrict_to_planned_periods(
         changes, planned.select(layout.period_of(F.col("file_path")).alias("period"))
     )
-    tables.overwrite_table(xml.lake_timetables(xml.parse_planned(planned)), root, "timetables")
-    tables.overwrite_table(xml.lake_changes(xml.parse_changes(kept)), root, "timetable_changes")
+    lake.load_lake(planned, kept, root)
     return checks.load_counts(
         {name: tables.read_table(spark, root, name) for name in ("timetables", "timetable_changes")}
     )
+
+
+@query
+def lake_two_drops(spark, sf_dir):
+    """Planned rows after two drops by date, the second one repeated."""
+    root = shared_dir(spark, "lake")
+    for number in (0, 1, 1):
+        documents = [_drop(d(spark, sf_dir), number) for d in (_planned_documents, _change_documents)]
+        lake.load_lake(*documents, root, by_date=True)
+    return tables.read_table(spark, root, "timetables").drop("file_path", "service_date")

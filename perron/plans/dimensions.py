@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perron.functions import calendar_columns, code_label, train_id_dim, trim_to_null
@@ -12,14 +15,38 @@ from perron.operators.keys import add_keys, minute_key
 
 # ---- stations ---------------------------------------------------------------
 
+STATION_NATURAL = ["station_number", "station_name", "eva_number"]
+
 
 def dim_station(flat: DataFrame) -> DataFrame:
     """Keyed stations; a reload replaces the table instead of appending to it."""
-    natural = ["station_number", "station_name", "eva_number"]
-    keyed = add_keys(flat, natural, "station_key")
+    keyed = add_keys(flat, STATION_NATURAL, "station_key")
     return keyed.select("station_key", *flat.columns)
 
 
+def _same_station(left: DataFrame, right: DataFrame) -> Column:
+    return reduce(and_, [left[c].eqNullSafe(right[c]) for c in STATION_NATURAL])
+
+
+def newest_stations(loads: DataFrame) -> DataFrame:
+    """Each station as its newest ``load`` has it; of equal ones the least as text."""
+    attributes = [c for c in loads.columns if c != "load"]
+    order = Window.partitionBy(*STATION_NATURAL).orderBy(F.desc("load"), F.to_json(F.struct(*attributes)))
+    return loads.withColumn("__place", F.row_number().over(order)).where("__place = 1").select(*attributes)
+
+
+def added_station_keys(stations: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """Natural and surrogate keys of the stations that ``existing`` lacks."""
+    natural = stations.select(*STATION_NATURAL)
+    if existing is not None:
+        natural = natural.join(existing, _same_station(natural, existing), "left_anti")
+    return add_keys(natural, STATION_NATURAL, "station_key", existing)
+
+
+def keyed_stations(stations: DataFrame, keys: DataFrame) -> DataFrame:
+    return stations.join(keys, _same_station(stations, keys)).select(keys["station_key"], *[stations[c] for c in stations.columns])
+
+
 # ---- trains -----------------------------------------------------------------
 
 
@@ -53,6 +80,12 @@ def new_dim_train(members: DataFrame) -> DataFrame:
     return add_keys(members, ["train_id"], "train_key").select("train_key", *members.columns)
 
 
+def added_trains(existing: DataFrame, members: DataFrame) -> DataFrame:
+    """The members whose train id ``existing`` lacks, in its columns."""
+    added = add_keys(new_members(members, existing, "train_id"), ["train_id"], "train_key", existing)
+    return added.select(*[F.col(c) if c in added.columns else F.lit(None).cast(t).alias(c) for c, t in existing.dtypes])
+
+
 def upsert_dim_train(existing: DataFrame, members: DataFrame) -> DataFrame:
     """``existing`` plus the members whose train id it lacks."""
     added = add_keys(new_members(members, existing, "train_id"), ["train_id"], "train_key", existing)

@@ -410,6 +410,10 @@ SQL = {
     "dim_train_upsert": None,
     "dim_station_load": "select * from dim_station",
     "fact_build": "select * from fact",
+    "warehouse_two_drops": (
+        "select f.* exclude (station_key, train_key), s.station_number, s.station_name, s.eva_number, t.train_id "
+        "from fact f left join dim_station s using (station_key) left join all_trains t using (train_key)"
+    ),
     "surrogate_key": "select train_id, train_key from dim_train",
     "inferred_train_member": "select * from all_trains",
     "inferred_time_member": f"select {time_row('timestamp')} from all_times",
@@ -565,6 +569,7 @@ SQL = {
         "select 'timetable_changes', sid, station, event_type, line, planned_platform from lake_ch"
     ),
     "stream_xml_ingest": "select * from lake_tt",
+    "lake_two_drops": "select * from lake_tt",
     "lake_build": (
         "select 'timetables' as table_name, count(*) as n_rows from lake_tt union all "
         "select 'timetable_changes', count(*) from change_el where idx = 0 and change_period in "

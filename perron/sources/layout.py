@@ -36,6 +36,11 @@ def day_of(path: Column) -> Column:
     return F.substring(folder_of(path), 1, 6)
 
 
+def unit_of(path: Column) -> Column:
+    """Period and snapshot day: the files whose stops and changes belong together."""
+    return F.concat_ws("_", period_of(path), day_of(path))
+
+
 def snapshot_time_of(path: Column) -> Column:
     return parse_time_folder(folder_of(path))
 

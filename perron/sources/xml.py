@@ -87,8 +87,8 @@ def _or_empty(value: Column) -> Column:
     return F.coalesce(value, F.lit(""))
 
 
-def lake_timetables(parsed: DataFrame) -> DataFrame:
-    """Planned documents as rows of the ``timetables`` table."""
+def lake_timetables(parsed: DataFrame, source: bool = False) -> DataFrame:
+    """Planned documents as rows of the ``timetables`` table, with ``source`` also their file."""
 
     def train(attribute: str) -> Column:
         # '' where the stop has no train element, null where only the attribute is missing
@@ -105,13 +105,15 @@ def lake_timetables(parsed: DataFrame) -> DataFrame:
         parse_time_lake(F.col("el._pt")).alias("planned_time"),
         F.col("el._pp").alias("planned_platform"),
         F.col("el._ppth").alias("planned_path"),
+        *(["file_path"] if source else []),
     )
 
 
-def lake_changes(parsed: DataFrame, snapshot: bool = False) -> DataFrame:
+def lake_changes(parsed: DataFrame, snapshot: bool = False, source: bool = False) -> DataFrame:
     """Change documents as rows of the ``timetable_changes`` table.
 
-    ``snapshot=True`` adds the snapshot time, which "newest change" queries need.
+    ``snapshot=True`` adds the snapshot time, which "newest change" queries
+    need, ``source=True`` the file.
     """
     facts = [layout.snapshot_time_of(F.col("file_path")).alias("snapshot_ts")] if snapshot else []
     return _first_events(stops_of(parsed, *facts)).select(
@@ -125,6 +127,7 @@ def lake_changes(parsed: DataFrame, snapshot: bool = False) -> DataFrame:
         _or_empty(F.col("el._pp")).alias("planned_platform"),
         _or_empty(F.col("el._cpth")).alias("changed_path"),
         *(["snapshot_ts"] if snapshot else []),
+        *(["file_path"] if source else []),
     )
 
 
