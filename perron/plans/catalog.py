@@ -85,13 +85,17 @@ def _planned(spark, sf_dir):
 
 
 def _stops(spark, sf_dir):
-    return xml.planned_stops(_planned(spark, sf_dir))
+    return xml.planned_stops(xml.parse_planned(_planned_documents(spark, sf_dir), any_depth=True))
 
 
 def _changes(spark, sf_dir):
     return xml.parse_changes(_change_documents(spark, sf_dir))
 
 
+def _stop_changes(spark, sf_dir):
+    return xml.warehouse_changes(xml.parse_changes(_change_documents(spark, sf_dir), any_depth=True))
+
+
 def _station_rows(spark, sf_dir):
     return stations.parse_station_documents(derived.station_documents(spark, sf_dir))
 
@@ -205,7 +209,7 @@ def train_scan(spark, sf_dir):
 
 @query
 def warehouse_change_scan(spark, sf_dir):
-    return xml.warehouse_changes(_changes(spark, sf_dir))
+    return _stop_changes(spark, sf_dir)
 
 
 @query
@@ -320,6 +324,14 @@ def fk_violations(spark, sf_dir):
     return _warehouse(spark, sf_dir).violations()
 
 
+@query
+def fk_orphans(spark, sf_dir):
+    """The fact against the dimensions as they were before inferred members came in."""
+    described = dimensions.new_dim_train(_xml_trains(spark, sf_dir))
+    snapshots = dimensions.time_members(snapshot_time_scan(spark, sf_dir))
+    return checks.fk_violations(_warehouse(spark, sf_dir).fact, {"train_key": described, "time_key": snapshots})
+
+
 @query
 def load_counts(spark, sf_dir):
     return _warehouse(spark, sf_dir).counts()
@@ -533,7 +545,7 @@ def peak_outer_join(spark, sf_dir):
 
 @query
 def left_latest_change(spark, sf_dir):
-    newest = latest.latest_changes(xml.warehouse_changes(_changes(spark, sf_dir)))
+    newest = latest.latest_changes(_stop_changes(spark, sf_dir))
     return latest.with_latest_change(_movements(spark, sf_dir), newest).select(
         "file_path", "stop_pos", "event_type", "event_pos", "sid", *latest.CHANGE_VALUES
     )
@@ -623,7 +635,7 @@ def distinct_trains(spark, sf_dir):
 
 @query
 def latest_change(spark, sf_dir):
-    return latest.latest_changes(xml.warehouse_changes(_changes(spark, sf_dir)))
+    return latest.latest_changes(_stop_changes(spark, sf_dir))
 
 
 @query

@@ -425,6 +425,12 @@ SQL = {
         "select 'time_key', count(*) from fact where time_key is not null and "
         f"time_key not in (select {minute_number('timestamp')} from all_times)"
     ),
+    "fk_orphans": (
+        "select 'train_key' as foreign_key, count(*) as n_violations from fact where train_key is not null and "
+        "train_key not in (select train_key from dim_train) union all "
+        "select 'time_key', count(*) from fact where time_key is not null and "
+        f"time_key not in (select {minute_number('timestamp')} from folder_times where timestamp is not null)"
+    ),
     "load_counts": (
         "select 'dim_station' as table_name, count(*) as n_rows from dim_station union all "
         "select 'dim_train', count(*) from all_trains union all select 'dim_time', count(*) from all_times union all "

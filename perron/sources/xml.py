@@ -36,16 +36,39 @@ def read_documents(spark: SparkSession, root: str, feed: str) -> DataFrame:
     return files.select(decoded_path(), F.col("value").alias("xml"))
 
 
-def _parse(documents: DataFrame, schema: T.StructType) -> DataFrame:
-    return documents.select("file_path", F.from_xml("xml", schema, _OPTIONS).alias("doc"))
+# A stop element with all it holds; quoted attribute values may contain '>'.
+_ATTRIBUTES = r"""(?:[^"'>]++|"[^"]*+"|'[^']*+')*+"""
+_STOP = rf"<s(?=[\s/>]){_ATTRIBUTES}(?:(?<=/)>|(?<!/)>(?:[^<]++|<(?!/?s[\s/>]))*+</s\s*+>)"
+_NO_ELEMENTS = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 
 
-def parse_planned(documents: DataFrame) -> DataFrame:
-    return _parse(documents, PLANNED_DOCUMENT)
+def _parse(documents: DataFrame, schema: T.StructType, any_depth: bool) -> DataFrame:
+    """(file_path, doc). ``any_depth`` also takes stops that stand below other elements.
+
+    The parser reads stops that are children of the root. Where a document
+    names more of them, its stops are cut out in their order and parsed as
+    children of one root; all other documents are parsed once. A stop that
+    holds a further stop is not read, the inner one is.
+    """
+    read = F.from_xml("xml", schema, _OPTIONS).alias("doc")
+    if not any_depth:
+        return documents.select("file_path", read)
+    elements = F.regexp_replace("xml", _NO_ELEMENTS, "")
+    stops = F.array_join(F.regexp_extract_all(elements, F.lit(_STOP), F.lit(0)), "")
+    flat = F.from_xml(F.concat(F.lit("<timetable>"), stops, F.lit("</timetable>")), schema, _OPTIONS)
+    children = F.greatest(F.coalesce(F.size("doc.s"), F.lit(0)), F.lit(0))
+    nested = F.col(f"doc.{CORRUPT}").isNull() & (F.regexp_count(elements, F.lit(r"<s[\s/>]")) > children)
+    return documents.select("file_path", "xml", read).select(
+        "file_path", F.col("doc").withField("s", F.when(nested, flat["s"]).otherwise(F.col("doc.s"))).alias("doc")
+    )
+
+
+def parse_planned(documents: DataFrame, any_depth: bool = False) -> DataFrame:
+    return _parse(documents, PLANNED_DOCUMENT, any_depth)
 
 
-def parse_changes(documents: DataFrame) -> DataFrame:
-    return _parse(documents, CHANGE_DOCUMENT)
+def parse_changes(documents: DataFrame, any_depth: bool = False) -> DataFrame:
+    return _parse(documents, CHANGE_DOCUMENT, any_depth)
 
 
 def corrupt_documents(parsed: DataFrame) -> DataFrame:

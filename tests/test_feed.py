@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feed import write_archives, write_feed
+from perron.operators import latest
 from perron.plans import lake
 from perron.sources import layout, stations, tables, xml
 from perron.streaming import ingest
@@ -75,6 +76,34 @@ def test_warehouse_rows(planned):
     assert trains == [("S", "1"), ("RE", "7"), (" S ", "1"), ("S", "1")]
 
 
+def test_stops_at_any_depth_in_their_order(spark):
+    planned = (
+        '<timetable station="X"><s id="1"><tl c="S" n="1"/><ar pt="2509221939" ppth="a &gt; b"/></s>'
+        '<part><s id="2"><tl c="S" n="2"/><x><ar/></x><dp pt="2509221940" pdest=\'c > "d"\'/></s >'
+        '<part><s id="3"/><s\nid="4"><tl c="S" n="4"/><dp l="&lt;/s>"/></s></part></part>'
+        '<!-- <s id="no"/> --><sub/><s id="5"><tl c="S" n="5"/><ar/></s></timetable>'
+    )
+    changes = (
+        '<timetable><s id="1"><ar ct="2509221940"/></s><part><s id="1"><ar ct="2509221941"/></s></part>'
+        '<s id="1"><ar ct="2509221942"/></s></timetable>'
+    )
+    rows = [("root/timetables/w/2509221901/x_timetable.xml", text) for text in (planned, "<timetable/>", None, "<timet", changes)]
+    documents = spark.createDataFrame(rows, "file_path string, xml string")
+    stops = xml.planned_stops(xml.parse_planned(documents.limit(4), any_depth=True))
+    got = {r.stop_pos: (r.station, r.s["_id"]) for r in stops.collect()}
+    assert got == {i: ("X", str(i + 1)) for i in range(5)}
+    moves = {(r.sid, r.event_type): r for r in xml.warehouse_planned(stops).collect()}
+    assert set(moves) == {("1", "AR"), ("2", "DP"), ("4", "DP"), ("5", "AR")}
+    assert moves["2", "DP"].planned_destination == 'c > "d"' and moves["1", "AR"].planned_path == "a > b"
+    assert moves["4", "DP"].line_number == "</s>"
+    assert [r.number for r in xml.train_rows(stops).orderBy("stop_pos").collect()] == ["1", "2", "4", "5"]
+    changed = xml.warehouse_changes(xml.parse_changes(documents.where("xml like '%ct=%'"), any_depth=True))
+    assert latest.latest_changes(changed).first().actual_time == datetime(2025, 9, 22, 19, 42)
+    assert changed.count() == 3
+    # the lake tables take children of the root only
+    assert xml.lake_changes(xml.parse_changes(documents.where("xml like '%ct=%'"))).count() == 2
+
+
 def test_inventory_and_periods(spark, root):
     planned = layout.file_inventory(layout.list_files(spark, root, "timetables"))
     changes = layout.file_inventory(layout.list_files(spark, root, "timetable_changes"))
