@@ -50,46 +50,60 @@ def exact_matches(names: DataFrame, name_map: DataFrame) -> DataFrame:
 
 # ---- similarity -------------------------------------------------------------
 #
-# A pair scores at least 85 only if its indel distance d is at most 15 % of the
-# summed lengths. Cut the known name into dmax + 1 segments: d insertions and
-# deletions can spoil at most d of them, so one segment stands unchanged in the
-# other name, at most dmax places away. Joining on segment text therefore finds
-# every pair that can pass, without comparing all names with all stations. Word
-# parts that many stations share ("strasse") still pair many names; most of
-# those pairs fall to a comparison of letter signatures, which is one XOR and a
-# bit count, before the real score is computed.
+# A pair scores at least 85 only if its indel distance is at most 15 % of the
+# summed lengths; d is the greatest such number for a pair of lengths. Cut the
+# known name into d + 1 segments, numbered from 0. Of d insertions and deletions
+# there is a segment i that none of them touches, with at most i of them before
+# it and d - i behind it (the first segment up to whose end there are no more
+# than i). So it stands unchanged in the other name, shifted by at most i places,
+# and by at most d - i from the shift that the lengths give at the end. The join is
+# on length, place and text of the segment: it finds every pair that can pass. Most
+# others fall to a comparison of letter signatures, which is one XOR and a bit
+# count, before the real score is computed.
 
 
-def _max_distance(length: Column) -> Column:
-    longest_partner = F.floor(length * (200 - THRESHOLD) / F.lit(THRESHOLD))
-    return F.floor((length + longest_partner) * (100 - THRESHOLD) / F.lit(100)).cast("int")
+def _partner_lengths(length: Column) -> Column:
+    """Lengths of names that can score THRESHOLD against a name of ``length``."""
+    least = F.ceil(length * THRESHOLD / F.lit(200 - THRESHOLD)).cast("int")
+    return F.sequence(least, F.floor(length * (200 - THRESHOLD) / F.lit(THRESHOLD)).cast("int"))
+
+
+def _max_distance(length: Column, other: Column) -> Column:
+    return F.floor((length + other) * (100 - THRESHOLD) / F.lit(100)).cast("int")
 
 
 def _segments(name_map: DataFrame) -> DataFrame:
-    length = F.length("normalized")
-    count = F.col("max_distance") + 1
+    """A row per known name, length of the other name, segment, and place where it may stand there."""
+    length, other, most = F.col("known_length"), F.col("name_length"), F.col("max_distance")
+    i, longer = F.col("i"), other - length
 
-    def cut(i: Column) -> Column:
-        start = F.floor(i * length / count).cast("int")
-        end = F.floor((i + 1) * length / count).cast("int")
-        return F.struct(start.alias("at"), F.substring(F.col("normalized"), start + 1, end - start).alias("segment"))
+    def cut(n: Column) -> Column:
+        start = F.floor(n * length / (most + 1)).cast("int")
+        end = F.floor((n + 1) * length / (most + 1)).cast("int")
+        text = F.substring(F.col("normalized"), start + 1, end - start)
+        return F.struct(n.alias("i"), start.alias("at"), text.alias("segment"))
 
+    shifts = F.sequence(F.greatest(-i, longer - most + i), F.least(i, longer + most - i))
     return (
-        name_map.where(length > 0)
+        name_map.where(F.length("normalized") > 0)
         .select(
             "station_key",
             "normalized",
-            length.alias("known_length"),
-            _max_distance(length).alias("max_distance"),
+            F.length("normalized").alias("known_length"),
             letter_signature(F.col("normalized")).alias("known_signature"),
         )
-        .select("*", F.inline(F.transform(F.sequence(F.lit(0), F.col("max_distance")), cut)))
-        .drop("normalized")
+        .select("*", F.explode(_partner_lengths(length)).alias("name_length"))
+        .withColumn("max_distance", _max_distance(length, other))
+        .select("*", F.inline(F.transform(F.sequence(F.lit(0), most), cut)))
+        .select("*", F.explode(shifts).alias("shift"))
+        .withColumn("place", F.col("at") + F.col("shift"))
+        .where((F.col("place") >= 0) & (F.col("place") + F.length("segment") <= other))
+        .select("station_key", "known_length", "known_signature", "name_length", "place", "segment")
     )
 
 
-# Segments have length/(dmax + 1) characters, rounded up or down: 1 to 3.
-SEGMENT_LENGTHS = range(1, 4)
+# Segments have length/(d + 1) characters, rounded up or down: 1 to 4.
+SEGMENT_LENGTHS = range(1, 5)
 
 
 def _substrings(names: DataFrame) -> DataFrame:
@@ -114,16 +128,12 @@ def _substrings(names: DataFrame) -> DataFrame:
 def _candidate_pairs(names: DataFrame, name_map: DataFrame) -> DataFrame:
     """Distinct (name, station_key) that may score 85; a pair found through
     several segments is counted once."""
-    distance_floor = F.greatest(
-        F.abs(F.col("name_length") - F.col("known_length")),
-        F.bit_count(F.col("name_signature").bitwiseXOR(F.col("known_signature"))),
-    )
+    distance_floor = F.bit_count(F.col("name_signature").bitwiseXOR(F.col("known_signature")))
     allowed = (F.col("name_length") + F.col("known_length")) * (100 - THRESHOLD)
-    in_reach = F.abs(F.col("place") - F.col("at")) <= F.col("max_distance")
     return (
         _substrings(names)
-        .join(_segments(name_map), "segment")
-        .where(in_reach & (distance_floor * 100 <= allowed))
+        .join(_segments(name_map), ["name_length", "place", "segment"])
+        .where(distance_floor * 100 <= allowed)
         .select("name", "station_key")
         .distinct()
     )

@@ -90,8 +90,26 @@ def test_fuzzy_match_equals_brute_force(spark):
         assert got[name][0] == key and got[name][1] == pytest.approx(score, abs=1e-9)
 
 
-def test_every_length_has_short_enough_segments(spark):
+def test_every_pair_of_lengths_has_short_enough_segments(spark):
     lengths = spark.range(1, 256).select(F.col("id").cast("int").alias("n"))
-    for row in lengths.select("n", resolve._max_distance(F.col("n")).alias("d")).collect():
-        longest = -(-row.n // (row.d + 1))
-        assert longest in resolve.SEGMENT_LENGTHS
+    pairs = lengths.select("n", F.explode(resolve._partner_lengths(F.col("n"))).alias("m"))
+    partners = {}
+    for row in pairs.select("n", "m", resolve._max_distance(F.col("n"), F.col("m")).alias("d")).collect():
+        partners.setdefault(row.n, set()).add(row.m)
+        assert row.n // (row.d + 1) in resolve.SEGMENT_LENGTHS
+        assert -(-row.n // (row.d + 1)) in resolve.SEGMENT_LENGTHS
+    for n, found in partners.items():
+        assert found == {m for m in range(1, 2 * n + 1) if 100 * abs(n - m) <= 15 * (n + m)}
+
+
+def test_fuzzy_join_meets_few_pairs(spark):
+    rng = random.Random(13)
+    known = sorted({"".join(rng.choice("abcdefghiklmnorstu") for _ in range(rng.randint(4, 12))) + "strasse" for _ in range(400)})
+    names = spark.createDataFrame([(perturbed(n, rng),) for n in known], "name string")
+    name_map = spark.createDataFrame([(k, n) for k, n in enumerate(known)], "station_key long, normalized string")
+    keys = ["name_length", "place", "segment"]
+    joined = resolve._substrings(names).join(resolve._segments(name_map), keys)
+    # all of them end alike, the worst case of the join; other parts meet hardly anything
+    assert joined.count() < len(known) ** 2
+    assert joined.where("not contains('strasse', segment)").count() <= 0.1 * len(known) ** 2
+    assert resolve._candidate_pairs(names, name_map).count() <= 0.1 * len(known) ** 2
