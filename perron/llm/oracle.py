@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from perron.llm.secret_scan import ALLOWED, CLASSES, PATTERNS
 from perron.llm.url_rules import HOST_RULES, PATTERN_RULES
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -135,6 +136,104 @@ FROM bits
 """
 
 
+def _op11() -> str:
+    """Positions from all text before a match; each window's letters are counted anew."""
+    parts = []
+    for i, p in enumerate(PATTERNS):
+        size = f"length(regexp_extract(run, {_quoted(p.pattern)}, {p.group}))"
+        parts.append(f"SELECT doc_id, {i} AS place, '{p.kind}' AS kind, start, start + length(run) AS stop FROM ({_matches(p.pattern)}) WHERE {size} >= {p.least}")
+    allowed = _quoted("|".join(f"(?:{p})" for p in ALLOWED))
+    for i, c in enumerate(CLASSES, len(PATTERNS)):
+        run = "lower(run)" if c.fold else "run"
+        windows = f"""SELECT doc_id, start, s, list_histogram(string_split(substr({run}, s::INT + 1, {c.window}), '')) AS h
+            FROM (SELECT *, unnest(range(0, length(run) - {c.window - 1})) AS s FROM ({_matches(c.candidates())}) WHERE NOT regexp_matches(run, {allowed}))"""
+        high = f"""SELECT doc_id, start, s FROM ({windows}) WHERE list_sum(list_transform(map_values(h), lambda n: {c.gains()}[n::BIGINT + 1])) <= {c.limit()}"""
+        marked = f"SELECT *, coalesce(s - lag(s) OVER (PARTITION BY doc_id, start ORDER BY s) > {c.window}, true)::INT AS fresh FROM ({high})"
+        numbered = f"SELECT *, sum(fresh) OVER (PARTITION BY doc_id, start ORDER BY s) AS g FROM ({marked})"
+        parts.append(f"SELECT doc_id, {i}, '{c.kind}', start + min(s), start + max(s) + {c.window} FROM ({numbered}) GROUP BY doc_id, start, g")
+    counts = ", ".join(f"count(*) FILTER (kind = '{p.kind}') AS n_{p.kind}" for p in PATTERNS)
+    joined = "coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place, stop) FILTER ({}), '')"
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+spans AS ({" UNION ALL ".join(parts)})
+SELECT doc_id, {counts}, sha256({joined.format(f"place < {len(PATTERNS)}")}) AS base_sha256, {joined.format("kind IS NOT NULL")} AS spans
+FROM texts LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+"""
+
+
+def _matches(pattern: str) -> str:
+    """SQL for (doc_id, run, start) of all matches."""
+    p = _quoted(pattern)
+    return f"""SELECT doc_id, m[i] AS run,
+        (list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS start
+        FROM (SELECT doc_id, m, string_split_regex(text, {p}) AS g, unnest(range(1, len(m) + 1)) AS i
+          FROM (SELECT doc_id, text, regexp_extract_all(text, {p}) AS m FROM texts) WHERE len(m) > 0)"""
+
+
+# CRC-32 by its table, over a list of bytes.
+CRC_TABLE = "SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda s, z: xor(s >> 1, 3988292384 * (s & 1)))) AS t"
+CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], {bytes}), lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1])), 4294967295)"
+
+OP12 = f"""
+WITH turns AS (
+  SELECT conv_id, length(r) || ':' || r || x AS turn, octet_length(encode(x)) AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, x) AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+crc AS ({CRC_TABLE}),
+convs AS (SELECT conv_id, {CRC.format(bytes="list_transform(string_split(conv_id::VARCHAR, ''), lambda c: unicode(c)::BIGINT)")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM turns), crc),
+rebuilt AS (
+  SELECT c.conv_id, pos, turn, size FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 5 WHERE pos <= h
+  UNION ALL SELECT conv_id, pos + 8, turn, size FROM convs JOIN turns USING (conv_id) WHERE pos > h),
+paths AS (
+  SELECT conv_id, coalesce(list(md5(turn) ORDER BY pos) FILTER (pos IS NOT NULL), []) AS codes, coalesce(list(size ORDER BY pos) FILTER (pos IS NOT NULL), []) AS sizes
+  FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id),
+prefixes AS (
+  SELECT conv_id, d, array_to_string(codes[1:d], '') AS key, array_to_string(codes[1:d - 1], '') AS up, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size, d = len(codes) AS ends
+  FROM (SELECT *, unnest(range(0, len(codes) + 1)) AS d FROM paths)),
+nodes AS (
+  SELECT key, d, min(conv_id) AS conv_id, count(*) AS n, any_value(up) AS up, any_value(size) AS size,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM prefixes GROUP BY key, d),
+kids AS (SELECT up AS key, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (key, d)),
+sums AS (
+  SELECT p.key, p.d, sum((n_children = 0)::INT) AS n_leaves, sum((n - 1) * f.size) AS saved
+  FROM full_nodes f JOIN prefixes p ON p.conv_id = f.conv_id AND p.d <= f.d GROUP BY ALL)
+SELECT f.conv_id, f.d::BIGINT AS depth, up.conv_id AS parent_conv_id, f.n::BIGINT AS n_convs, f.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+  saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM full_nodes f JOIN sums USING (key, d) LEFT JOIN nodes up ON up.key = f.up AND up.d = f.d - 1
+"""
+
+# Near words share what is left after taking out one letter, at the same place or as a whole word.
+OP13 = rf"""
+WITH RECURSIVE crc AS ({CRC_TABLE}),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+bytes AS (
+  SELECT *, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + (unicode(c)::BIGINT >> 6), 128 + (unicode(c)::BIGINT & 63)] END)) AS b FROM runs),
+hashed AS (SELECT run, n, {CRC.format(bytes="b")} AS h FROM bytes, crc),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cuts AS (SELECT word, i, substr(word, 1, i::INT - 1) || substr(word, i::INT + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT cuts.word, words.word FROM cuts JOIN words ON cuts.rest = words.word
+  UNION SELECT words.word, cuts.word FROM cuts JOIN words ON cuts.rest = words.word),
+ranked AS (
+  SELECT near.word, other, n, count(*) OVER (PARTITION BY near.word) AS n_near, row_number() OVER (PARTITION BY near.word ORDER BY n DESC, encode(other)) AS place
+  FROM near JOIN words ON words.word = other),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN r.n >= 10 * w.n THEN other END AS form, CASE WHEN r.n >= 10 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1),
+chain(word, top) AS (SELECT word, word FROM formed UNION ALL SELECT chain.word, form FROM chain JOIN formed ON formed.word = chain.top WHERE form IS NOT NULL),
+ends AS (SELECT chain.word, top AS root FROM chain JOIN formed ON formed.word = chain.top WHERE form IS NULL)
+SELECT word, form, root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM formed JOIN ends USING (word)
+"""
+
+
 def oracle_queries() -> dict[str, str]:
     return {
         "op1_minhash_near_dedup": OP1,
@@ -144,4 +243,7 @@ def oracle_queries() -> dict[str, str]:
         "op5_substring_dedup": OP5,
         "op7_benchmark_decontamination": OP7,
         "op9_warc": OP9,
+        "op11_secret_scans": _op11(),
+        "op12_prefix_trie": OP12,
+        "op13_spelling_variants": OP13,
     }

@@ -7,10 +7,10 @@ from collections.abc import Callable, Iterator
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perron.llm import bpe, chat, decontaminate, language, minhash, quality, substrings, token_files, url_rules, warc
+from perron.llm import bpe, chat, decontaminate, language, minhash, prefix_trie, quality, secret_scan, spelling, substrings, token_files, url_rules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,6 +99,31 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, F.col("learns"), carry=("doc_id", "held_out"))
 
 
+def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
+    base = [p.kind for p in secret_scan.PATTERNS]
+
+    def of(*kinds: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in base],
+        F.sha2(secret_scan.joined(of(*base)), 256).alias("base_sha256"),
+        secret_scan.joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = prefix_trie.conversation_paths(_table(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    return prefix_trie.prefix_nodes(prefix_trie.with_borrowed_heads(paths, F.col("conv_id") - F.col("conv_id") % 5, head, 8))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(spelling.word_counts(_table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -109,6 +134,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup, op2_quality_rules, op3_url_filters, op4_chat_formatting, op5_substring_dedup,
-        op6_token_files, op7_benchmark_decontamination, op8_byte_bpe, op9_warc, op10_language_id, pipeline,
+        op6_token_files, op7_benchmark_decontamination, op8_byte_bpe, op9_warc, op10_language_id, op11_secret_scans,
+        op12_prefix_trie, op13_spelling_variants, pipeline,
     )
 }
