@@ -76,7 +76,8 @@ CLASSES = (
 #: Candidates that hold one of these are no secrets: identifiers of public things, words, placeholders, alphabets.
 ALLOWED = (
     "[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",
-    "^[A-Z]?[a-z]+([_/+-]?[A-Z]?[a-z]+)*$",
+    # every part begins with what cannot end the one before it, so there is one way to match
+    "^[A-Z]?[a-z]+(?:[_/+-][A-Z]?[a-z]+|[A-Z][a-z]+)*$",
     either_case("example"),
     either_case("placeholder"),
     "0123456789",
