@@ -16,7 +16,7 @@ from perron import functions as fn
 from perron.functions.text import CATEGORY_LABELS, CLASS_LABELS, OPERATOR_NAMES, TYPE_LABELS
 from perron.operators import checks, delays, keys, latest, messages, nearest, peaks, resolve
 from perron.operators.joins import new_members
-from perron.plans import dimensions, lake, reports, warehouse
+from perron.plans import dimensions, lake, landing, reports, warehouse
 from perron.session import shared_dir
 from perron.sources import archives, derived, layout, stations, tables, xml
 from perron.sources.derived import SPARK
@@ -44,7 +44,9 @@ INPUTS: dict[str, Query] = {
     "timetable_changes_xml": derived.change_documents,
     "timetables": derived.timetables,
     "timetable_changes": derived.timetable_changes,
-    "timetables_archives": lambda spark, sf_dir: archives.pack_documents(_planned_documents(spark, sf_dir)),
+    "timetables_archives": lambda spark, sf_dir: archives.write_archives(
+        _planned_documents(spark, sf_dir), shared_dir(spark, "archives"), layout.PLANNED_FEED
+    ),
     "dim_station": lambda spark, sf_dir: _new_dim_station(spark, sf_dir),
 }
 _landed: dict[tuple[str, str, str], str] = {}
@@ -185,8 +187,10 @@ def change_period_semi_join(spark, sf_dir):
 
 @query
 def archive_member_scan(spark, sf_dir):
-    packed = landed(spark, sf_dir, "timetables_archives")
-    return xml.lake_timetables(xml.parse_planned(archives.archive_documents(packed)))
+    """Archives on disk; their folder is where the first one lies."""
+    one = landed(spark, sf_dir, "timetables_archives").first().path
+    root = one.split(f"/{layout.PLANNED_FEED}/")[0]
+    return xml.lake_timetables(xml.parse_planned(archives.read_documents(spark, root, layout.PLANNED_FEED)))
 
 
 @query
@@ -707,6 +711,48 @@ def stream_xml_ingest(spark, sf_dir):
     return tables.read_table(spark, target, feed)
 
 
+def _feed_on_disk(spark, sf_dir, root: str, number: int) -> str:
+    """A drop's planned documents as real files in period and snapshot folders below ``root``."""
+    documents = _drop(_planned_documents(spark, sf_dir), number)
+    place = F.array_join(F.slice(F.split("file_path", "/"), -4, 4), "/")
+    landing.write_files(documents.withColumn("file_path", F.concat(F.lit(f"{root}/"), place))).agg(F.sum("size")).collect()
+    return root
+
+
+@query
+def landed_documents(spark, sf_dir):
+    """Two drops of real files, landed as they come, and the sorted document table of both."""
+    root, store = shared_dir(spark, "drop"), shared_dir(spark, "landing")
+    for number in range(2):
+        landing.land(spark, _feed_on_disk(spark, sf_dir, root, number), layout.PLANNED_FEED, store)
+    landing.compact(spark, store, layout.PLANNED_FEED)
+    rows = landing.documents(spark, store, layout.PLANNED_FEED)
+    return xml.lake_timetables(xml.parse_planned(rows))
+
+
+@query
+def landed_inventory(spark, sf_dir):
+    """What the inventory knows of two drops, the second one landed twice."""
+    root, store = shared_dir(spark, "drop"), shared_dir(spark, "landing")
+    for number in (0, 1, 1):
+        landing.land(spark, _feed_on_disk(spark, sf_dir, root, number), layout.PLANNED_FEED, store)
+    entries = landing.inventory(spark, store, layout.PLANNED_FEED)
+    name = F.substring_index("file_path", "/", -1)
+    return entries.select("period", layout.folder_of(F.col("file_path")).alias("folder"), name.alias("file_name"), "state")
+
+
+@query
+def stream_two_runs(spark, sf_dir):
+    """Real files, streamed into the dated table as two drops come; known files are dropped before the parse."""
+    root, target = shared_dir(spark, "drop"), shared_dir(spark, "lake")
+    feed = layout.PLANNED_FEED
+    for number in (0, 1, 1):
+        _feed_on_disk(spark, sf_dir, root, number)
+        documents = ingest.stream_documents(spark, root, feed, files_per_batch=5000)
+        ingest.ingest_feed(documents, feed, target, f"{target}/_progress", by_date=True).awaitTermination()
+    return tables.read_table(spark, target, feed).drop("file_path", "service_date")
+
+
 @query
 def lake_build(spark, sf_dir):
     planned, changes = _planned_documents(spark, sf_dir), _change_documents(spark, sf_dir)

@@ -575,6 +575,11 @@ SQL = {
         "select 'timetable_changes', sid, station, event_type, line, planned_platform from lake_ch"
     ),
     "stream_xml_ingest": "select * from lake_tt",
+    "stream_two_runs": "select * from lake_tt",
+    "landed_documents": "select * from lake_tt",
+    "landed_inventory": (
+        "select period, folder, regexp_extract(path, '[^/]*$') as file_name, 'landed' as state from files where feed = 'timetables'"
+    ),
     "lake_two_drops": "select * from lake_tt",
     "lake_build": (
         "select 'timetables' as table_name, count(*) as n_rows from lake_tt union all "

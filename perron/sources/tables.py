@@ -38,18 +38,6 @@ def of_new_files(df: DataFrame, known: DataFrame | None, path: str = "file_path"
     return split_join(df, known.select(path).distinct(), [path], "left_anti").select(*df.columns)
 
 
-def append_new_files(
-    rows: DataFrame, root: str, name: str, ts: str, date_column: str = "service_date", path: str = "file_path"
-) -> None:
-    """Add the rows of files that the table does not hold yet, by date.
-
-    Nothing that is stored is replaced: drops may share dates, and a repeated
-    drop adds nothing.
-    """
-    fresh = of_new_files(rows, stored(rows.sparkSession, root, name), path)
-    append_table(fresh.withColumn(date_column, F.to_date(ts)), root, name, (date_column,))
-
-
 def overwrite_table(df: DataFrame, root: str, name: str) -> str:
     """Replace a table as a whole."""
     path = f"{root.rstrip('/')}/{name}"
