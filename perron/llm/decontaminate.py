@@ -9,6 +9,9 @@ partitioned by size; within a partition all sketch values lie below a common
 ceiling, and documents send only the shingles below the ceiling of a partition
 whose smallest need they can meet at all. Candidates are then verified by exact
 containment.
+
+An item of fewer than 5 words has its whole word sequence as its only shingle, which a
+document holds wherever these words follow one another.
 """
 
 from __future__ import annotations
@@ -50,13 +53,43 @@ def _rank(shingles: np.ndarray) -> np.ndarray:
     return mix(shingles ^ U64(0xA5A5A5A5A5A5A5A5)) >> U64(1)
 
 
-def _exploded(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
-    """(key, n, rank) for each distinct shingle; n is the size of the set."""
+def short_windows(texts: pa.Array, widths: list[int]) -> Iterator[np.ndarray]:
+    """Per text the sorted distinct hashes of its windows of ``widths`` words, each as the only shingle of a text that short."""
+    found = Words(*text_bytes(texts))
+    hashes = found.hashes(fold_case=True)
+    windows = {w: window_hashes(hashes, w, 100 + w) >> U64(1) for w in widths}
+    for first, count in zip(found.first[:-1], found.count):
+        own = [windows[w][first : first + count - w + 1] for w in widths if count >= w]
+        yield np.unique(np.concatenate(own)) if own else np.zeros(0, U64)
+
+
+def _document_sets(texts: pa.Array, widths: list[int]) -> Iterator[np.ndarray]:
+    """Per text its shingles, and its shorter windows if there are items that short."""
+    if not widths:
+        yield from shingle_sets(texts)
+        return
+    for own, short in zip(shingle_sets(texts), short_windows(texts, widths)):
+        yield np.union1d(own, short)
+
+
+def item_widths(items: DataFrame, text: str, words: int = WORDS) -> list[int]:
+    """The numbers of words below ``words`` that items have; at most ``words`` rows reach the driver."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = np.unique(Words(*text_bytes(batch.column("text"))).count)
+            yield pa.RecordBatch.from_arrays([pa.array(counts[(counts > 0) & (counts < words)].astype(np.int64))], names=["w"])
+
+    return sorted(r["w"] for r in items.select(F.col(text).alias("text")).mapInArrow(counted, "w bigint").distinct().collect())
+
+
+def _exploded(df: DataFrame, key: str, text: str, name: str, widths: list[int] | None = None) -> DataFrame:
+    """(key, n, rank) for each distinct shingle; n is the size of the set. ``widths``: see :func:`_document_sets`."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             keys = batch.column("key").to_numpy(zero_copy_only=False)
-            sets = [np.sort(_rank(s)) for s in shingle_sets(batch.column("text"))]
+            sets = [np.sort(_rank(s)) for s in _document_sets(batch.column("text"), widths or [])]
             sizes = np.array([len(s) for s in sets], np.int64)
             if not sizes.sum():
                 continue
@@ -81,7 +114,8 @@ def contained_items(
 
     n_shingles is the size of the item's set, n_found how many of them the document
     has. Rows without a key or text, and texts without words, match nothing; rows
-    that share a key count as one set, the union of theirs. Empty tables give no
+    that share a key count as one set, the union of theirs, and none is left out for its
+    own size. An item of fewer than 5 words is one shingle. Empty tables give no
     rows; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -97,6 +131,7 @@ def contained_items(
     classes = sketch.groupBy("size_class").agg(F.max("rank").alias("ceiling"), F.min("need").alias("least")).collect()  # at most 64 rows
     if not classes:
         return spark.createDataFrame([], f"{doc_key} bigint, {item_key} bigint, n_shingles bigint, n_found bigint")
+    widths = item_widths(items.filter(F.col(item_key).isNotNull()), text)
     least = np.array([c["least"] for c in classes])
     ceilings = np.array([c["ceiling"] for c in classes])
 
@@ -104,8 +139,8 @@ def contained_items(
         for batch in pieces(batches, "text"):
             keys = batch.column("key").to_numpy(zero_copy_only=False)
             sent = []
-            for s in shingle_sets(batch.column("text")):
-                reachable = ceilings[least <= len(s)]
+            for s, shared in zip(_document_sets(batch.column("text"), widths), batch.column("shared").to_pylist()):
+                reachable = ceilings if shared else ceilings[least <= len(s)]
                 ranks = _rank(s)
                 sent.append(ranks[ranks <= U64(reachable.max())] if len(reachable) else ranks[:0])
             sizes = [len(s) for s in sent]
@@ -113,12 +148,15 @@ def contained_items(
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(keys, sizes)), pa.array(np.concatenate(sent).astype(np.int64))], names=["doc", "rank"])
 
     keyed = docs.select(F.col(doc_key).cast("bigint").alias("key"), F.col(text).alias("text")).filter("key is not null and text is not null")
-    sent = keyed.mapInArrow(below, "doc bigint, rank bigint")
+    # of a set that is spread over rows, a row's own size says nothing
+    several = saved(keyed.groupBy("key").agg(F.count("*").alias("rows")).filter("rows > 1").select("key", F.lit(True).alias("shared")), "contamination-shared-keys")
+    flagged = keyed.join(bounded_broadcast(several), "key", "left") if several.head(1) else keyed.withColumn("shared", F.lit(False))
+    sent = flagged.mapInArrow(below, "doc bigint, rank bigint")
     candidates = sent.join(bounded_broadcast(sketch.select("item", "rank")), "rank")
     candidates = saved(candidates.select("doc", "item").distinct(), "contamination-candidates")
     suspects = candidates.select(F.col("doc").alias("key")).distinct()
     texts = keyed.join(bounded_broadcast(suspects), "key", "left_semi")
-    held = _exploded(texts, "key", "text", "doc").select("doc", "rank").join(bounded_broadcast(full.select("item", "n", "need", "rank")), "rank")
+    held = _exploded(texts, "key", "text", "doc", widths).select("doc", "rank").join(bounded_broadcast(full.select("item", "n", "need", "rank")), "rank")
     # a rank counts once, also where rows share a key
     found = held.groupBy("doc", "item", "n", "need").agg(F.countDistinct("rank").alias("n_found"))
     found = found.filter("n_found >= need").join(candidates, ["doc", "item"], "left_semi")
@@ -126,6 +164,10 @@ def contained_items(
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, percent: int = PERCENT, doc_key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that contain no item, with the columns of ``docs``; rows without a key stay."""
+    """The rows of ``docs`` that contain no item, with the columns of ``docs``, whatever their names.
+
+    Rows without a key stay, as do null and wordless texts; rows that share a key go together. No rows give no rows.
+    """
     found = saved(contained_items(docs, items, percent, doc_key).select(F.col(doc_key).alias("bad_key")).distinct(), "contaminated")
-    return docs.join(bounded_broadcast(found), docs[doc_key] == F.col("bad_key"), "left_anti")
+    rows = docs.select(F.struct("*").alias("clean_row"), F.col(doc_key).alias("clean_key"))
+    return rows.join(bounded_broadcast(found), F.col("clean_key") == F.col("bad_key"), "left_anti").select("clean_row.*")

@@ -114,9 +114,10 @@ WITH both_texts AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION
 words AS (
   SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x20\x09-\x0D]+') AS w FROM both_texts),
+lengths AS (SELECT DISTINCT len(w) AS l FROM words WHERE kind = 'i' AND len(w) BETWEEN 1 AND 4 UNION SELECT 5),
 sets AS (
-  SELECT kind, id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+  SELECT kind, id, list_distinct(list_transform(range(1, len(w) - l + 2), lambda i: array_to_string(w[i:i + l - 1], ' '))) AS s
+  FROM words JOIN lengths ON l <= len(w) AND (kind = 'd' OR l = least(len(w), 5))),
 shingles AS (SELECT kind, id, len(s) AS n, unnest(s) AS x FROM sets)
 SELECT d.id AS doc_id, i.id AS item_id, i.n::BIGINT AS n_shingles, count(*)::BIGINT AS n_found
 FROM shingles d JOIN shingles i ON d.x = i.x AND d.kind = 'd' AND i.kind = 'i'

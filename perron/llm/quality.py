@@ -145,16 +145,17 @@ def judge(docs: DataFrame, host: str = "source", text: str = "text", rules: Rule
 
     Rows without a host (null) are judged by the base rules alone and have a null
     host_rate; null texts have no words and fail. Repeated rows count, and come
-    out, as often as they go in. An empty table gives an empty result.
+    out, as often as they go in. An empty table gives an empty result. Carried
+    columns may have any name.
     """
-    taken = [F.col(c) for c in carry] + [F.col(host).alias("q_host"), F.col(text).alias("q_text")]
+    taken = F.struct(*carry).alias("q_row"), F.col(host).alias("q_host"), F.col(text).alias("q_text")
     stats = measured(docs.select(*taken), "q_text").drop("q_text")
     stats = saved(stats.withColumn("base_failed", base_failed(rules)), "quality-measures")
     hosts = saved(host_rates(stats, "q_host").select(F.col("host").alias("q_host"), "host_rate"), "quality-hosts")
     verdict = F.coalesce(F.col("host_rate") <= rules.max_host_rate, F.lit(True))
     joined = stats.join(bounded_broadcast(hosts), "q_host", "left")
     return joined.select(
-        *carry,
+        "q_row.*",
         *[F.col(f"q_{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         "base_failed",
         F.round("host_rate", 9).alias("host_rate"),

@@ -347,11 +347,19 @@ def removed_words(chunk: Chunk, repeated: np.ndarray, shards: int, smaller: dict
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without repeated passages: changed texts are their kept words, texts without repeats stay as they are.
 
-    Rows of which no word is left go. A column n_chars follows the text.
+    Rows of which no word is left go; wordless and null texts stay. A column n_chars follows the text. Rows that share a
+    key do not remove each other's words, rows without one stay whole. Columns may have any name; no rows give no rows.
     """
-    marked = mark_repeats(docs, key, text).filter("n_removed = 0 or n_removed < n_words")
-    new = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col(text))
-    marked = marked.withColumn(text, new)
-    if "n_chars" in docs.columns:
-        marked = marked.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    return marked.select(*docs.columns)
+    rows = docs.select(F.struct(*[c for c in docs.columns if c != text]).alias("row"), F.col(key).alias("row_key"), F.col(text).alias("row_text"))
+    marked = mark_repeats(rows, "row_key", "row_text").filter("n_removed = 0 or n_removed < n_words")
+    new = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("row_text"))
+    marked = marked.select("row", new.alias("new_text"))
+
+    def column(name: str):
+        if name == text:
+            return F.col("new_text").alias(name)
+        if name == "n_chars":
+            return F.length("new_text").cast(docs.schema[name].dataType).alias(name)
+        return F.col("row").getField(name).alias(name)
+
+    return marked.select(*map(column, docs.columns))

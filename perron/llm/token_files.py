@@ -287,7 +287,11 @@ def read_file(path: str) -> Iterator[tuple[int | None, np.ndarray]]:
 
 
 class WordIds:
-    """Ids of texts by a tokenizer that drops white space, word by word through a bounded memory."""
+    """Ids of texts by a tokenizer that drops white space, word by word through a bounded memory.
+
+    Strings of special tokens in a text become these tokens, as in the library; they hold no
+    white space, so a word holds them whole, also amid other letters.
+    """
 
     MOST = 300_000
 
@@ -296,7 +300,6 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(tokenizer)
-        self.tokenizer.encode_special_tokens = True
         self.size = self.tokenizer.get_vocab_size()
         self._forget()
 
@@ -332,8 +335,8 @@ def word_ids(tokenizer: bytes) -> WordIds:
 def write_documents(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text", key: str = "doc_id", file_ids: int = LANES * BLOCK, encoder: Callable[[bytes], WordIds] = word_ids) -> DataFrame:
     """Writes all texts' ids, each document closed by ``end_id``, and returns the manifest (part, seq, file, n_ids, start).
 
-    Files follow ascending ``key`` (nulls first; equal keys by text), ``start`` counts the ids in files
-    before. Null texts are empty and have the end id alone. Extra columns are ignored; an
+    Files follow ascending ``key`` (nulls first; equal keys by a hash of the text, then by text), ``start``
+    counts the ids in files before. Range bounds are sampled from keys and hashes, not from texts. Null texts are empty and have the end id alone. Extra columns are ignored; an
     empty table writes no file.
     """
     spark = docs.sparkSession
@@ -363,8 +366,9 @@ def write_documents(docs: DataFrame, tokenizer: str, end_id: int, text: str = "t
             yield flush()
 
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    rows = rows.repartitionByRange(task_count(spark), F.col("key").asc_nulls_first(), F.col("text").asc_nulls_first())
-    rows = rows.sortWithinPartitions(F.col("key").asc_nulls_first(), F.col("text").asc_nulls_first())
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    rows = rows.repartitionByRange(task_count(spark), F.col("key").asc_nulls_first(), F.col("hash"))
+    rows = rows.sortWithinPartitions(F.col("key").asc_nulls_first(), F.col("hash"), F.col("text").asc_nulls_first()).drop("hash")
     rows = rows.withColumn("part", F.spark_partition_id().cast("bigint"))
     manifest = saved(rows.mapInArrow(written, "part bigint, seq bigint, file string, n_ids bigint"), "token-manifest")
     # one row per file of some MB

@@ -178,7 +178,7 @@ def test_contained_items(spark, docs, rows):
     sets = {k: shingles(t) for k, t in items if k is not None}
     expected = set()
     for key, text, *_ in rows:
-        own = shingles(text)
+        own = shingles(text) | {tuple(folded(text)[i : i + n]) for n in range(1, 5) for i in range(len(folded(text)) - n + 1)}
         expected |= {(key, k, len(s), len(s & own)) for k, s in sets.items() if key is not None and s and 100 * len(s & own) >= 75 * len(s)}
     got = [tuple(r) for r in decontaminate.contained_items(docs, df).collect()]
     assert len(got) == len(set(got)) and set(got) == expected and len(expected) > 5
@@ -189,6 +189,43 @@ def test_contained_items(spark, docs, rows):
     assert decontaminate.contained_items(docs, df.limit(0)).count() == 0
 
 
+def test_contained_over_rows_and_short_items(spark):
+    """Rows of one key share a set; items of few words are found inside long texts."""
+    w = words_of(70, 12)
+    halves = [" ".join(w[:8]), " ".join(w[4:])]
+    long = " ".join(words_of(71, 3000) + ["alpha", "Beta", "gamma"] + words_of(72, 3000))
+    df = spark.createDataFrame([(1, halves[0]), (1, halves[1]), (2, halves[0]), (3, long), (4, "beta  gamma"), (5, "gamma beta"), (6, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(10, " ".join(w)), (11, "beta gamma"), (12, "ALPHA"), (13, "alpha beta gamma delta")], "item_id long, text string")
+    got = {tuple(r) for r in decontaminate.contained_items(df, items).collect()}
+    assert got == {(1, 10, 8, 8), (3, 11, 1, 1), (4, 11, 1, 1), (3, 12, 1, 1)}
+
+
+CLASHES = ["gone_id", "bad_key", "n_words", "n_removed", "kept_text", "n", "doc", "rank", "key", "q_n_words", "q_text", "base_failed", "row", "s_row", "s_text", "minhash_key", "clean_row"]
+
+
+@pytest.mark.parametrize("change", [str.lower, str.upper])
+def test_clashing_columns(spark, change):
+    names = list(map(change, CLASHES))
+    w = [" ".join(words_of(80 + i, 80)) for i in range(4)]
+    texts = [w[0], w[0], w[1] + " " + w[2], w[3] + " " + w[2], None]
+    rows = [(i, t, "s", t and len(t), *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, " + ", ".join(f"{n} string" for n in names))
+    items = spark.createDataFrame([(1, w[1][:200])], "item_id long, text string")
+    by_id = {r[0]: r for r in rows}
+    for kept, out in (
+        ({0, 1, 2, 3}, quality.kept_documents(df)),
+        ({0, 2, 3, 4}, minhash.kept_documents(df)),
+        ({0, 1, 3, 4}, decontaminate.clean_documents(df, items)),
+    ):
+        assert out.columns == df.columns and sorted(map(tuple, out.collect())) == [by_id[i] for i in sorted(kept)]
+    out = substrings.without_repeats(df)
+    got = {r[0]: tuple(r) for r in out.collect()}
+    assert out.columns == df.columns and set(got) == {0, 2, 3, 4}
+    assert got[3] == (3, w[3], "s", len(w[3]), *by_id[3][4:]) and all(got[i] == by_id[i] for i in (0, 2, 4))
+    judged = quality.judge(df, carry=("doc_id", change("q_n_words"), change("q_text"))).collect()
+    assert {(r[0], r[1], r[2]) for r in judged} == {(r[0], r[4 + CLASHES.index("q_n_words")], r[4 + CLASHES.index("q_text")]) for r in rows}
+
+
 def ranks():
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -297,6 +334,16 @@ def test_code_lengths():
             assert got[i, j] == pytest.approx(brute_bits(tree, t.encode()), rel=1e-5)
 
 
+def test_special_strings(spark):
+    """As the library takes them: as special tokens, also glued to letters."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["<|endoftext|>", "a<|startoftext|>b <|endoftext|><|endoftext|>, <|ENDOFTEXT|>", "<| endoftext |> x<|endoftext", "é<|endoftext|>É"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in token_files.read_documents(token_files.write_documents(df, path, end_id=2)).collect()}
+    assert got == {i: Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids + [2] for i, t in enumerate(texts)}
+    assert 49406 in got[1] and got[1].count(49407) == 2
+
+
 def test_language(spark, docs, empty):
     got = language.identify(docs.limit(0).union(docs), F.col("lang").isNotNull(), carry=("doc_id", "text")).collect()
     for r in got:
