@@ -11,8 +11,6 @@ from perron.operators.joins import split_join, spread_by_work
 # Finest grid: cells of 2/16384 of the Earth's radius, about 0.8 km.
 FINEST = 14
 STEPS = 1 << FINEST
-# From the centre of a finest cell to its corners.
-REACH = 3**0.5 / STEPS
 # Far above rounding errors, far below a metre's effect on the result.
 SLACK = 1e-9
 
@@ -36,18 +34,19 @@ def nearest_station(stations: DataFrame, latitude: float, longitude: float) -> D
 
 # ---- many points ------------------------------------------------------------
 #
-# Points and stations are placed in nested cubic grids around the unit sphere.
-# For each finest cell that holds points, some station found in the same cell of
-# any coarser grid bounds how far the nearest one can be. That bound picks the
-# grid whose 27 cells around the place must contain every contender. Contenders
-# are worked out once per finest cell (there are only so many on Earth) and cut
-# down to those that are nearest for some place in the cell; only then do they
-# meet the points of that cell.
+# Points and stations lie in nested cubic grids around the unit sphere. Occupied point
+# cells form a tree, and it is descended level by level with the stations that may still be the
+# nearest one for some place in the cell: those whose distance from the cell's centre exceeds
+# the smallest such distance by no more than twice the way from the centre to a corner. A station that is
+# nearest for a place is kept in every cell around that place, so nothing is lost. Cells shrink fourfold
+# a step, and so does what is kept - also for places far from all stations. Contenders are
+# worked out once per finest cell (there are only so many on Earth) and then meet its points.
 
 
 # A grid cell is one BIGINT: level, then 20 bits for each axis.
 _AXIS_BITS = 20
 _AXIS_MASK = (1 << _AXIS_BITS) - 1
+_LEVELS = range(2, FINEST + 1, 2)
 
 
 def _long(value: int) -> Column:
@@ -59,10 +58,8 @@ def _pack(level: Column, x: Column, y: Column, z: Column) -> Column:
     return high.bitwiseOR(F.shiftleft(y, _AXIS_BITS)).bitwiseOR(z)
 
 
-def _axes(cell: Column, coarser: Column) -> list[Column]:
-    """The axis numbers of a finest cell, ``coarser`` levels up."""
-    finest = [F.shiftright(cell, bits).bitwiseAND(_long(_AXIS_MASK)) for bits in (2 * _AXIS_BITS, _AXIS_BITS, 0)]
-    return [F.call_function("shiftright", axis, coarser) for axis in finest]
+def _axes(cell: Column) -> list[Column]:
+    return [F.shiftright(cell, bits).bitwiseAND(_long(_AXIS_MASK)) for bits in (2 * _AXIS_BITS, _AXIS_BITS, 0)]
 
 
 def _cell(lat: Column, lon: Column) -> Column:
@@ -74,76 +71,39 @@ def _cell(lat: Column, lon: Column) -> Column:
     return _pack(F.lit(FINEST), *[axis(value) for value in unit_sphere(lat, lon)])
 
 
-def _all_levels(df: DataFrame) -> DataFrame:
-    """Each row's cell on every grid level from the finest to the whole globe (0)."""
-    level = F.col("level")
-    return df.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(FINEST)))).withColumn(
-        "grid", _pack(level, *_axes(F.col("cell"), F.lit(FINEST) - level))
-    )
+def _coarser(cell: Column, level: int) -> Column:
+    """The cell of grid ``level`` around a finest cell."""
+    return _pack(F.lit(level), *[F.shiftright(axis, FINEST - level) for axis in _axes(cell)])
 
 
-def _from_centre() -> Column:
-    """Straight distance from the middle of ``cell`` to (sx, sy, sz)."""
-    axes = _axes(F.col("cell"), F.lit(0))
+def _from_centre(cell: Column, level: int) -> Column:
+    """Straight distance from the middle of a cell of grid ``level`` to (sx, sy, sz)."""
 
-    def squared(i: int) -> Column:
-        gap = (axes[i] + 0.5) / STEPS * 2 - 1 - F.col(("sx", "sy", "sz")[i])
+    def squared(axis: Column, place: str) -> Column:
+        gap = (axis + 0.5) / (1 << level) * 2 - 1 - F.col(place)
         return gap * gap
 
-    return F.sqrt(squared(0) + squared(1) + squared(2))
+    x, y, z = (squared(axis, place) for axis, place in zip(_axes(cell), ("sx", "sy", "sz")))
+    return F.sqrt(x + y + z)
 
 
-def _candidates(points: DataFrame, stations: DataFrame) -> DataFrame:
+def _contenders(points: DataFrame, stations: DataFrame) -> DataFrame:
     """(cell, station) pairs that contain the nearest station of every point of the cell.
 
-    A station is nearest for some place of a cell only if its distance from the
-    centre exceeds the smallest such distance by no more than twice the reach.
+    The first step compares all stations with at most 64 cells. A step's cells are told by
+    the finest ones; the hot cell of a step is split by the join.
     """
-    station_cells = _all_levels(stations).drop("cell", "level")
-    samples = (
-        station_cells.groupBy("grid")
-        .agg(F.min_by(F.struct("sx", "sy", "sz"), "station_key").alias("s"))
-        .select("grid", "s.*")
-    )
-    bounds = (
-        _all_levels(points.select("cell").distinct())
-        .join(samples, "grid")
-        .groupBy("cell")
-        .agg((F.min(_from_centre()) + 2 * REACH + SLACK).alias("radius"))
-    )
-    # the finest grid whose cells are at least as wide as the radius
-    search_level = F.greatest(F.floor(F.log2(2 / F.col("radius"))).cast("int"), F.lit(0))
-    offsets = F.array(
-        *[
-            F.struct(_long(dx).alias("dx"), _long(dy).alias("dy"), _long(dz).alias("dz"))
-            for dx in (-1, 0, 1)
-            for dy in (-1, 0, 1)
-            for dz in (-1, 0, 1)
-        ]
-    )
-    level = F.col("level")
-    home = _axes(F.col("cell"), F.lit(FINEST) - level)
-    axes = [axis + F.col(f"o.{offset}") for axis, offset in zip(home, ("dx", "dy", "dz"))]
-    last = F.call_function("shiftleft", _long(1), level) - 1
-    inside = axes[0].between(_long(0), last) & axes[1].between(_long(0), last) & axes[2].between(_long(0), last)
-    around = (
-        spread_by_work(bounds, "cell")
-        .select("cell", search_level.alias("level"), F.explode(offsets).alias("o"))
-        .where(inside)
-        .select("cell", _pack(level, *axes).alias("grid"))
-    )
-    return around.join(station_cells, "grid").drop("grid")
-
-
-def _contenders(candidates: DataFrame) -> DataFrame:
-    """Drop stations that cannot be nearest anywhere in the cell."""
-    closest = F.min("from_centre").over(Window.partitionBy("cell"))
-    return (
-        candidates.withColumn("from_centre", _from_centre())
-        .withColumn("closest", closest)
-        .where(F.col("from_centre") <= F.col("closest") + 2 * REACH + SLACK)
-        .drop("from_centre", "closest", "sx", "sy", "sz")
-    )
+    cells = points.select("cell").distinct()
+    found = stations.drop("cell").withColumn("grid", _long(0))
+    for level in _LEVELS:
+        up = _coarser(F.col("cell"), level - _LEVELS.step) if level > _LEVELS.start else _long(0)
+        own = cells.select(_coarser(F.col("cell"), level).alias("own"), up.alias("grid")).distinct()
+        near = split_join(spread_by_work(own, "grid"), found, ["grid"], "inner").drop("grid")
+        near = near.withColumn("from_centre", _from_centre(F.col("own"), level))
+        closest = F.min("from_centre").over(Window.partitionBy("own"))
+        kept = F.col("from_centre") <= F.col("closest") + 2 * 3**0.5 / (1 << level) + SLACK
+        found = near.withColumn("closest", closest).where(kept).drop("from_centre", "closest").withColumnRenamed("own", "grid")
+    return found.drop("sx", "sy", "sz").withColumnRenamed("grid", "cell")
 
 
 def nearest_station_batch(points: DataFrame, stations: DataFrame) -> DataFrame:
@@ -162,7 +122,7 @@ def nearest_station_batch(points: DataFrame, stations: DataFrame) -> DataFrame:
     spots = spots.withColumns({"cell": _cell(latitude, longitude), "sx": sx, "sy": sy, "sz": sz})
     distance = haversine_km(lat, lon, latitude, longitude)
     return (
-        split_join(placed, _contenders(_candidates(placed, spots)), ["cell"], "inner")
+        split_join(placed, _contenders(placed, spots), ["cell"], "inner")
         .select("point_id", "station_key", "station_name", distance.alias("distance_km"))
         .groupBy("point_id")
         .agg(

@@ -517,11 +517,12 @@ def messages(spark: SparkSession, sf_dir: str):
 
 
 def point_columns() -> dict[str, str]:
-    """Search coordinates over ``customer``, inside and around the station area."""
+    """Search coordinates over ``customer``, inside and around the station area; every fifth on another continent."""
+    far = "case when c_custkey % 5 = 0 then {} else {} end"
     return {
         "point_id": "c_custkey",
-        "lat": "52.2 + cast(c_custkey * 37 % 601 as double) * 0.001",
-        "lon": "12.9 + cast(c_custkey * 53 % 1009 as double) * 0.001",
+        "lat": f"{far.format(-33.9, 52.2)} + cast(c_custkey * 37 % 601 as double) * 0.001",
+        "lon": f"{far.format(150.7, 12.9)} + cast(c_custkey * 53 % 1009 as double) * 0.001",
     }
 
 

@@ -2,7 +2,9 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from perron.functions import unit_sphere
 from perron.operators import nearest
 
 
@@ -46,3 +48,15 @@ def test_single_point_ties_go_to_the_lower_key(spark):
         "station_key long, station_name string, latitude double, longitude double",
     )
     assert nearest.nearest_station(stations, 52.1, 13.0).first().station_key == 1
+
+
+def test_far_cells_keep_few_candidates(spark):
+    rng = random.Random(4)
+    stations = [(k, f"s{k}", rng.uniform(47.3, 55.0), rng.uniform(5.9, 15.0)) for k in range(2000)]
+    station_df = spark.createDataFrame(stations, "station_key long, station_name string, latitude double, longitude double")
+    points = [(i, rng.uniform(-35.0, -30.0), rng.uniform(140.0, 152.0)) for i in range(200)]
+    placed = spark.createDataFrame(points, "point_id long, lat double, lon double").withColumn("cell", nearest._cell(F.col("lat"), F.col("lon")))
+    sx, sy, sz = unit_sphere(F.col("latitude"), F.col("longitude"))
+    per_cell = nearest._contenders(placed, station_df.withColumns({"sx": sx, "sy": sy, "sz": sz})).groupBy("cell").count().collect()
+    assert len(per_cell) == placed.select("cell").distinct().count()
+    assert sum(r["count"] for r in per_cell) / len(per_cell) < 20

@@ -159,3 +159,9 @@ def test_candidate_filters_are_sql_only():
     # no Python workers behind the matching and search operators
     for module in (resolve, nearest, delays, latest, peaks):
         assert "udf" not in open(module.__file__).read().lower()
+
+
+def test_one_station_reads_its_keys_only(spark, sf_dir):
+    house = catalog._warehouse(spark, sf_dir)
+    text = physical(catalog.reports.avg_delay_per_station(house.fact, house.dim_station, catalog.STATION))
+    assert re.search(r"PushedFilters: \[[^]]*(In|EqualTo)\(station_key", text)
