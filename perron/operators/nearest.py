@@ -38,7 +38,7 @@ def nearest_station(stations: DataFrame, latitude: float, longitude: float) -> D
 # cells form a tree, and it is descended level by level with the stations that may still be the
 # nearest one for some place in the cell: those whose distance from the cell's centre exceeds
 # the smallest such distance by no more than twice the way from the centre to a corner. A station that is
-# nearest for a place is kept in every cell around that place, so nothing is lost. Cells shrink fourfold
+# nearest for a place is kept in every cell around that place, so nothing is lost. Cells shrink eightfold
 # a step, and so does what is kept - also for places far from all stations. Contenders are
 # worked out once per finest cell (there are only so many on Earth) and then meet its points.
 
@@ -46,7 +46,7 @@ def nearest_station(stations: DataFrame, latitude: float, longitude: float) -> D
 # A grid cell is one BIGINT: level, then 20 bits for each axis.
 _AXIS_BITS = 20
 _AXIS_MASK = (1 << _AXIS_BITS) - 1
-_LEVELS = range(2, FINEST + 1, 2)
+_LEVELS = range(2, FINEST + 1, 3)
 
 
 def _long(value: int) -> Column:

@@ -36,28 +36,61 @@ def read_documents(spark: SparkSession, root: str, feed: str) -> DataFrame:
     return files.select(decoded_path(), F.col("value").alias("xml"))
 
 
-# A stop element with all it holds; quoted attribute values may contain '>'.
-_ATTRIBUTES = r"""(?:[^"'>]++|"[^"]*+"|'[^']*+')*+"""
-_STOP = rf"<s(?=[\s/>]){_ATTRIBUTES}(?:(?<=/)>|(?<!/)>(?:[^<]++|<(?!/?s[\s/>]))*+</s\s*+>)"
+# Tags and the text between them; quoted attribute values may contain '>'.
+_TOKENS = r"""<(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>|[^<]++"""
+_STOP, _STOP_END = r"^<s[\s/>]", r"^</s\s*>"
 _NO_ELEMENTS = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 
 
+def _flat_stops(document: Column) -> Column:
+    """All stop elements of a document in the order they begin, each without the stops inside it.
+
+    Tokens are read once with a stack of open stops; a token belongs to the innermost.
+    """
+    tokens = F.regexp_extract_all(F.regexp_replace(document, _NO_ELEMENTS, ""), F.lit(_TOKENS), F.lit(0))
+
+    def read(tokens: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            token, stack = F.get(tokens, i), state["stack"]
+            begins = token.rlike(_STOP)
+            opens = begins & ~token.endswith("/>")
+            inner = F.when(begins, i).otherwise(F.coalesce(F.try_element_at(stack, F.lit(-1)), F.lit(-1)))
+            after = F.when(opens, F.concat(stack, F.array(i)))
+            after = after.when(token.rlike(_STOP_END), F.slice(stack, 1, F.greatest(F.size(stack) - 1, F.lit(0)))).otherwise(stack)
+            return F.struct(after.alias("stack"), F.concat(state["stops"], F.array(inner)).alias("stops"))
+
+        none = F.array().cast("array<int>")
+        places = F.when(F.size(tokens) > 0, F.sequence(F.lit(0), F.size(tokens) - 1)).otherwise(none)
+        stops = F.aggregate(places, F.struct(none.alias("stack"), none.alias("stops")), step, lambda state: state["stops"])
+        owned = F.zip_with(tokens, stops, lambda token, stop: F.struct(token.alias("token"), stop.alias("stop")))
+        begun = F.filter(places, lambda i: F.get(tokens, i).rlike(_STOP))
+
+        def texts(both: Column) -> Column:
+            def one(i: Column) -> Column:
+                return F.array_join(F.transform(F.filter(both, lambda x: x["stop"] == i), lambda x: x["token"]), "")
+
+            return F.array_join(F.transform(begun, one), "")
+
+        # a one-element array binds what is used more than once
+        return F.get(F.transform(F.array(owned), texts), F.lit(0))
+
+    return F.get(F.transform(F.array(tokens), read), F.lit(0))
+
+
 def _parse(documents: DataFrame, schema: T.StructType, any_depth: bool) -> DataFrame:
-    """(file_path, doc). ``any_depth`` also takes stops that stand below other elements.
+    """(file_path, doc). ``any_depth`` also takes stops that stand below other elements, other stops included.
 
-    The parser reads stops that are children of the root. Where a document
-    names more of them, its stops are cut out in their order and parsed as
-    children of one root; all other documents are parsed once. A stop that
-    holds a further stop is not read, the inner one is.
+    The parser reads stops that are children of the root. Only where a document may name
+    more of them (a count of ``<s`` without patterns tells) its stops are cut out in their order and
+    parsed as children of one root; all other documents are parsed once.
     """
     read = F.from_xml("xml", schema, _OPTIONS).alias("doc")
     if not any_depth:
         return documents.select("file_path", read)
-    elements = F.regexp_replace("xml", _NO_ELEMENTS, "")
-    stops = F.array_join(F.regexp_extract_all(elements, F.lit(_STOP), F.lit(0)), "")
-    flat = F.from_xml(F.concat(F.lit("<timetable>"), stops, F.lit("</timetable>")), schema, _OPTIONS)
+    flat = F.from_xml(F.concat(F.lit("<timetable>"), _flat_stops(F.col("xml")), F.lit("</timetable>")), schema, _OPTIONS)
     children = F.greatest(F.coalesce(F.size("doc.s"), F.lit(0)), F.lit(0))
-    nested = F.col(f"doc.{CORRUPT}").isNull() & (F.regexp_count(elements, F.lit(r"<s[\s/>]")) > children)
+    named = (F.octet_length("xml") - F.octet_length(F.replace("xml", F.lit("<s"), F.lit("")))) / 2
+    nested = F.col(f"doc.{CORRUPT}").isNull() & (named > children)
     return documents.select("file_path", "xml", read).select(
         "file_path", F.col("doc").withField("s", F.when(nested, flat["s"]).otherwise(F.col("doc.s"))).alias("doc")
     )

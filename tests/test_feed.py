@@ -1,4 +1,5 @@
 from collections import Counter
+from xml.etree import ElementTree
 from datetime import datetime
 
 import pytest
@@ -104,6 +105,31 @@ def test_stops_at_any_depth_in_their_order(spark):
     assert xml.lake_changes(xml.parse_changes(documents.where("xml like '%ct=%'"))).count() == 2
 
 
+NESTED = (
+    '<timetable station="X"><s id="1"><tl c="S" n="1"/><ar pt="2509221939"/>'
+    '<s id="2"><tl c="S" n="2"/><dp pt="2509221940" pdest="a > b"/><part><s id="3"><ar/></s></part></s>'
+    '<dp pt="2509221941"/></s><sub><s id="4"/></sub><s id="5"><x><s\tid="6"><dp l="&lt;s>"/></s ></x><ar/></s></timetable>'
+)
+
+
+def test_stops_inside_stops_are_read_like_the_outer_ones(spark):
+    """As a search for stops below the root finds them, in the order they begin, with their own events only."""
+    expected = []
+    for stop in ElementTree.fromstring(NESTED).iterfind(".//s"):
+        expected.append((stop.get("id"), len(stop.findall("ar")), len(stop.findall("dp"))))
+    plain = '<timetable><s id="1"><ar/></s><sub/><station/></timetable>'
+    rows = [("r/timetables/w/2509221901/x_timetable.xml", NESTED), ("r/timetables/w/2509221901/y_timetable.xml", plain)]
+    documents = spark.createDataFrame(rows, "file_path string, xml string")
+    stops = xml.planned_stops(xml.parse_planned(documents, any_depth=True)).collect()
+
+    def found(name):
+        own = sorted((r for r in stops if name in r.file_path), key=lambda r: r.stop_pos)
+        return [(r.s["_id"], len(r.s["ar"] or ()), len(r.s["dp"] or ())) for r in own]
+
+    assert found("x_timetable") == expected and len(expected) == 6
+    assert found("y_timetable") == [("1", 1, 0)]
+
+
 def test_inventory_and_periods(spark, root):
     planned = layout.file_inventory(layout.list_files(spark, root, "timetables"))
     changes = layout.file_inventory(layout.list_files(spark, root, "timetable_changes"))
