@@ -753,6 +753,24 @@ def stream_two_runs(spark, sf_dir):
     return tables.read_table(spark, target, feed).drop("file_path", "service_date")
 
 
+@query
+def corrupt_files(spark, sf_dir):
+    """The quarantine after a load and its repetition."""
+    root = shared_dir(spark, "lake")
+    for _ in range(2):
+        lake.append_documents(_planned_documents(spark, sf_dir), layout.PLANNED_FEED, root)
+    return tables.read_table(spark, root, "timetables_corrupt").select("file_path")
+
+
+@query
+def logged_counts(spark, sf_dir):
+    """Numbers of two drops as the loads counted them while they wrote."""
+    root = shared_dir(spark, "lake")
+    for number in range(2):
+        lake.append_documents(_drop(_planned_documents(spark, sf_dir), number), layout.PLANNED_FEED, root)
+    return lake.logged_counts(spark, root)
+
+
 @query
 def lake_build(spark, sf_dir):
     planned, changes = _planned_documents(spark, sf_dir), _change_documents(spark, sf_dir)

@@ -577,6 +577,11 @@ SQL = {
     "stream_xml_ingest": "select * from lake_tt",
     "stream_two_runs": "select * from lake_tt",
     "landed_documents": "select * from lake_tt",
+    "corrupt_files": "select distinct path as file_path from planned_stops where truncated",
+    "logged_counts": (
+        "select 'timetables' as table_name, (select count(*) from files where feed = 'timetables') as n_files, "
+        "(select count(*) from lake_tt) as n_rows, (select count(distinct path) from planned_stops where truncated) as n_corrupt"
+    ),
     "landed_inventory": (
         "select period, folder, regexp_extract(path, '[^/]*$') as file_name, 'landed' as state from files where feed = 'timetables'"
     ),

@@ -140,6 +140,11 @@ def test_known_files_go_before_the_parse(spark, tmp_path):
     # only the units of the drop are listed
     known = re.search(r"PartitionFilters: \[(.*?)\]", log.taken._jdf.queryExecution().toString())[1]
     assert "w1_250922" in known and "w2_250929" not in known
+    # the pass that wrote the rows counted them, and set the broken document aside
+    loads = tables.read_table(spark, root, "timetables_loads").drop("load").collect()
+    assert [r.asDict() for r in loads] == [{"n_files": 4, "n_rows": 6, "n_corrupt": 1}]
+    (broken,) = tables.read_table(spark, root, "timetables_corrupt").collect()
+    assert broken.file_path.endswith("cut_timetable.xml") and "2509" in broken.content
     # a file without rows is known as well
     assert rows.count() == 0 and log.fresh(log.files).count() == 0
     assert lake.append_documents(planned, "timetables", root) == 0
