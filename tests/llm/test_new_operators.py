@@ -7,10 +7,13 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from perron.llm import prefix_trie, secret_scan, spelling
+from perron.llm.oracle import oracle_queries
+from perron.llm.queries import QUERIES
 from perron.llm.secret_scan import CharacterClass
 
 DOCS = "doc_id long, text string, spans string, word string, n int, N string"
@@ -186,3 +189,19 @@ def test_word_counts(spark):
     expected = {w: n for w, n in counts.items() if n >= 2 and len(w) >= 7}
     assert any(len(w) == 12 for w in expected)
     assert {r.word: r.n for r in spelling.word_counts(df).collect()} == expected
+
+
+@pytest.mark.parametrize("name", ["op7_benchmark_decontamination", "op11_secret_scans", "op12_prefix_trie", "op13_spelling_variants"])
+def test_query_equals_its_twin(spark, sf_dir, name):
+    """The whole tables of the smallest size."""
+    duck = duckdb.connect()
+    for table in ("documents", "benchmark", "conversations"):
+        duck.execute(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
+    df = QUERIES[name](spark, sf_dir)
+    columns = sorted(df.columns)
+    result = duck.execute(oracle_queries()[name])
+    place = {d[0]: i for i, d in enumerate(result.description)}
+    assert columns == sorted(place)
+    expected = sorted((tuple(row[place[c]] for c in columns) for row in result.fetchall()), key=str)
+    got = sorted((tuple(row[c] for c in columns) for row in df.collect()), key=str)
+    assert got == expected and got
