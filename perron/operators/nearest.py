@@ -98,7 +98,9 @@ def _contenders(points: DataFrame, stations: DataFrame) -> DataFrame:
     for level in _LEVELS:
         up = _coarser(F.col("cell"), level - _LEVELS.step) if level > _LEVELS.start else _long(0)
         own = cells.select(_coarser(F.col("cell"), level).alias("own"), up.alias("grid")).distinct()
-        near = split_join(spread_by_work(own, "grid"), found, ["grid"], "inner").drop("grid")
+        # on fine grids: few bytes, much work
+        own = spread_by_work(own, "grid") if level > FINEST // 2 + 1 else own
+        near = split_join(own, found, ["grid"], "inner").drop("grid")
         near = near.withColumn("from_centre", _from_centre(F.col("own"), level))
         closest = F.min("from_centre").over(Window.partitionBy("own"))
         kept = F.col("from_centre") <= F.col("closest") + 2 * 3**0.5 / (1 << level) + SLACK

@@ -37,7 +37,9 @@ MEMBER_SCHEMA = "file_path string, xml string"
 INDEX_SCHEMA = "path string, packed_at bigint, skip bigint, header bigint"
 MEMBERS_PER_BATCH = 256
 BYTES_PER_BATCH = 16 << 20
-READ_BYTES = 1 << 20
+READ_BYTES = 64 << 10
+# Unpacked at a time; tar asks for much less.
+INFLATE_BYTES = 256 << 10
 # Compressed bytes of an archive that one task should read.
 PART_BYTES = 128 << 20
 SUFFIX = ".tar.gz"
@@ -57,15 +59,24 @@ class UnpackedStream(io.RawIOBase):
     def __init__(self, stream, packed_at: int = 0):
         self._stream, self._inflate = stream, None
         self._packed, self._taken, self._unpacked = b"", packed_at, 0
+        self._ready, self._given = b"", 0
         self.begins: list[tuple[int, int]] = []
 
     def readable(self) -> bool:
         return True
 
     def read(self, size: int = -1) -> bytes:
+        """Up to ``size`` bytes; none at the end only."""
         if size < 0:
             raise io.UnsupportedOperation("read without a size")
-        while size:
+        if size and self._given == len(self._ready):
+            self._ready, self._given = self._inflated(), 0
+        data = self._ready[self._given : self._given + size]
+        self._given += len(data)
+        return data
+
+    def _inflated(self) -> bytes:
+        while True:
             if not self._packed:
                 self._packed = self._stream.read(READ_BYTES)
                 if not self._packed:
@@ -81,7 +92,7 @@ class UnpackedStream(io.RawIOBase):
                 self._inflate = zlib.decompressobj(31)
                 self.begins.append((self._taken, self._unpacked))
             before = len(self._packed)
-            data = self._inflate.decompress(self._packed, size)
+            data = self._inflate.decompress(self._packed, INFLATE_BYTES)
             self._packed = self._inflate.unused_data if self._inflate.eof else self._inflate.unconsumed_tail
             self._taken += before - len(self._packed)
             if self._inflate.eof:
@@ -89,11 +100,10 @@ class UnpackedStream(io.RawIOBase):
             if data:
                 self._unpacked += len(data)
                 return data
-        return b""
 
     def skip(self, size: int) -> None:
         while size:
-            size -= len(self.read(min(size, READ_BYTES)))
+            size -= len(self.read(size))
 
 
 class _Whole(io.RawIOBase):
