@@ -94,9 +94,9 @@ def _contenders(points: DataFrame, stations: DataFrame) -> DataFrame:
     the finest ones; the hot cell of a step is split by the join.
     """
     cells = points.select("cell").distinct()
-    found = stations.drop("cell").withColumn("grid", _long(0))
+    found = stations.withColumn("grid", _coarser(F.col("cell"), 0)).drop("cell")
     for level in _LEVELS:
-        up = _coarser(F.col("cell"), level - _LEVELS.step) if level > _LEVELS.start else _long(0)
+        up = _coarser(F.col("cell"), max(level - _LEVELS.step, 0))
         own = cells.select(_coarser(F.col("cell"), level).alias("own"), up.alias("grid")).distinct()
         # on fine grids: few bytes, much work
         own = spread_by_work(own, "grid") if level > FINEST // 2 + 1 else own

@@ -57,6 +57,6 @@ def test_far_cells_keep_few_candidates(spark):
     points = [(i, rng.uniform(-35.0, -30.0), rng.uniform(140.0, 152.0)) for i in range(200)]
     placed = spark.createDataFrame(points, "point_id long, lat double, lon double").withColumn("cell", nearest._cell(F.col("lat"), F.col("lon")))
     sx, sy, sz = unit_sphere(F.col("latitude"), F.col("longitude"))
-    per_cell = nearest._contenders(placed, station_df.withColumns({"sx": sx, "sy": sy, "sz": sz})).groupBy("cell").count().collect()
+    per_cell = nearest._contenders(placed, station_df.withColumns({"cell": nearest._cell(F.col("latitude"), F.col("longitude")), "sx": sx, "sy": sy, "sz": sz})).groupBy("cell").count().collect()
     assert len(per_cell) == placed.select("cell").distinct().count()
     assert sum(r["count"] for r in per_cell) / len(per_cell) < 20
