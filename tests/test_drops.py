@@ -1,6 +1,7 @@
 """Loads that follow one another leave what one load of everything leaves."""
 
 from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from feed import CHANGES, PLANNED, write_feed
 from perron.operators import delays
 from perron.plans import lake, warehouse
-from perron.sources import layout, stations, tables, xml
+from perron.sources import files, layout, stations, tables, versions, xml
 from perron.streaming import ingest
 
 # another file of the same day, stops after midnight and without a time, a new and a known train
@@ -121,3 +122,74 @@ def test_batch_and_stream_share_a_table(spark, tmp_path):
     # the change period without a planned feed is left out
     assert {r.sid for r in changes.collect()} == {"a"}
     assert delays.avg_daily_delay_all_stations(planned, changes).count() >= 0
+
+
+def open_names(house):
+    return Counter(house.table("unresolved_stations").collect())
+
+
+def test_a_reader_keeps_its_version_and_a_broken_load_shows_nothing(spark, tmp_path, monkeypatch):
+    first, second, both = drops(spark)
+    late = [(5, "Berlin Südkreuz"), (4, "Elsewhere")]
+    root = str(tmp_path / "two")
+    early = warehouse.build_warehouse(spark, *first, station_rows(spark, late), root)
+    before = {name: Counter(map(str, early.table(name).collect())) for name in early.version.parts}
+
+    def broken(*args):
+        raise ValueError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(warehouse, "fact_rows", broken)
+        with pytest.raises(ValueError, match="lost"):
+            warehouse.build_warehouse(spark, *second, station_rows(spark, late), root)
+    opened = warehouse.Warehouse.open(spark, root)
+    assert opened.version == early.version
+    assert {name: Counter(map(str, opened.table(name).collect())) for name in before} == before
+    house = warehouse.build_warehouse(spark, *second, station_rows(spark, late), root)
+    once = warehouse.build_warehouse(spark, *both, station_rows(spark, late), str(tmp_path / "one"))
+    assert named(house) == named(once) and open_names(house) == open_names(once)
+    assert {name: Counter(map(str, early.table(name).collect())) for name in before} == before
+    assert warehouse.Warehouse.open(spark, root).version == house.version
+
+
+@pytest.mark.parametrize("other", [0, 1], ids=["other files", "the same files"])
+def test_of_two_loads_at_once_one_starts_again(spark, tmp_path, monkeypatch, other):
+    first, second, both = drops(spark)
+    late = [(5, "Berlin Südkreuz"), (4, "Elsewhere")]
+    root, parsed = str(tmp_path / "two"), []
+    commit, parse = versions.Load.commit, xml.parse_planned
+
+    def overtaken(load):
+        monkeypatch.setattr(versions.Load, "commit", commit)
+        warehouse.build_warehouse(spark, *(first, second)[other], station_rows(spark, late), root)
+        return commit(load)
+
+    def counted(*args, **kwargs):
+        parsed.append(1)
+        return parse(*args, **kwargs)
+
+    monkeypatch.setattr(xml, "parse_planned", counted)
+    monkeypatch.setattr(versions.Load, "commit", overtaken)
+    house = warehouse.build_warehouse(spark, *second, station_rows(spark, late), root)
+    # one parse for each load, none for the second attempt
+    assert house.version.number == 2 and len(parsed) == 2
+    once = warehouse.build_warehouse(spark, *((both, second)[other]), station_rows(spark, late), str(tmp_path / "one"))
+    assert named(house) == named(once) and open_names(house) == open_names(once)
+    assert {r.n_violations for r in house.violations().collect()} == {0}
+    assert house.dim_train.count() == house.dim_train.select("train_key").distinct().count() == once.dim_train.count()
+    assert Counter(house.dim_time.collect()) == Counter(once.dim_time.collect())
+
+
+def test_a_load_gives_up_in_the_end(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(versions.Load, "commit", lambda load: None)
+    with pytest.raises(RuntimeError, match="2 times"):
+        warehouse.build_warehouse(spark, *drops(spark)[0], station_rows(spark, []), str(tmp_path), attempts=2)
+
+
+def test_a_file_is_created_once(spark, tmp_path):
+    path = str(tmp_path / "new" / "7.json")
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda n: files.create_file(spark, path, str(n).encode()), range(8)))
+    assert won.count(True) == 1 and files.read_file(path) == str(won.index(True)).encode()
+    assert [p.name for p in (tmp_path / "new").iterdir()] == ["7.json"]
+    assert not files.create_file(spark, f"file:{path}", b"x")
