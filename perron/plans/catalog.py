@@ -7,8 +7,10 @@ from :mod:`perron.sources.derived`; everything after them is the library.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -293,19 +295,38 @@ def _drop(documents, number: int):
     return documents.where(second if number else ~second)
 
 
-@query
-def warehouse_two_drops(spark, sf_dir):
-    """The fact after two loads, by names: keys depend on the order of loads."""
-    root = shared_dir(spark, "warehouse")
-    for number in range(2):
-        documents = [_drop(d(spark, sf_dir), number) for d in (_planned_documents, _change_documents)]
-        house = warehouse.build_warehouse(spark, *documents, _station_rows(spark, sf_dir), root)
+def _load_drop(spark, sf_dir, root: str, number: int) -> warehouse.Warehouse:
+    documents = [_drop(d(spark, sf_dir), number) for d in (_planned_documents, _change_documents)]
+    return warehouse.build_warehouse(spark, *documents, _station_rows(spark, sf_dir), root)
+
+
+def _named_fact(house: warehouse.Warehouse):
+    """The fact by names: keys depend on the order of loads."""
     station = house.dim_station.select("station_key", "station_number", "station_name", "eva_number")
     train = house.dim_train.select("train_key", "train_id")
     fact = house.fact.join(station, "station_key", "left").join(train, "train_key", "left")
     return fact.drop("station_key", "train_key")
 
 
+@query
+def warehouse_two_drops(spark, sf_dir):
+    """The fact after two loads, one after the other."""
+    root = shared_dir(spark, "warehouse")
+    _load_drop(spark, sf_dir, root, 0)
+    return _named_fact(_load_drop(spark, sf_dir, root, 1))
+
+
+@query
+def warehouse_overlapping_loads(spark, sf_dir):
+    """The fact after two loads that run at the same time; the one that is done later starts again on top of the other."""
+    root = shared_dir(spark, "warehouse")
+    with ThreadPoolExecutor(2) as pool:
+        load = inheritable_thread_target(spark)(_load_drop)
+        for running in [pool.submit(load, spark, sf_dir, root, number) for number in range(2)]:
+            running.result()
+    return _named_fact(warehouse.Warehouse.open(spark, root))
+
+
 @query
 def surrogate_key(spark, sf_dir):
     return dimensions.new_dim_train(_xml_trains(spark, sf_dir)).select("train_id", "train_key")

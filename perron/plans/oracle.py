@@ -414,6 +414,7 @@ SQL = {
         "select f.* exclude (station_key, train_key), s.station_number, s.station_name, s.eva_number, t.train_id "
         "from fact f left join dim_station s using (station_key) left join all_trains t using (train_key)"
     ),
+    "warehouse_overlapping_loads": None,
     "surrogate_key": "select train_id, train_key from dim_train",
     "inferred_train_member": "select * from all_trains",
     "inferred_time_member": f"select {time_row('timestamp')} from all_times",
@@ -608,6 +609,9 @@ SQL["dim_train_upsert"] = (
     "train_key, fresh.* exclude (b, rn) from fresh left join used on used.b = ('0x' || fresh.b)::bigint"
 )
 
+# Loads that run at the same time leave what they leave one after the other.
+SQL["warehouse_overlapping_loads"] = SQL["warehouse_two_drops"]
+
 
 def oracle_queries() -> dict[str, str]:
     return {name: _assemble(sql) for name, sql in SQL.items()}
