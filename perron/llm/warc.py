@@ -1,7 +1,9 @@
 """WARC archives: a writer with revisit records and a reader that salvages damaged files.
 
 A record is a gzip member of its own. The writer's tasks write files of bounded
-size; the reader streams them and keeps one record in memory.
+size; the reader streams them and keeps one record in memory. What a damaged or hostile file makes
+it keep is bounded too: a record may claim ``MOST_BYTES`` of content at most, a member is inflated no
+further than its record claims.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 from perron.llm.files import new_file, open_input, open_output, shared_dir
 from perron.llm.tables import saved, task_count
+from perron.operators.joins import split_join
 
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
@@ -29,9 +32,11 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 DATE = "1970-01-01T00:00:00Z"
 
 FILE_BYTES = 64 << 20
-READ, STEP = 1 << 17, 1 << 13
-MEMBER = re.compile(re.escape(GZIP_MAGIC))
+# The longest content that a record may claim, and the longest header.
+MOST_BYTES, HEADER_BYTES = 1 << 30, 1 << 20
+READ, STEP, INFLATED = 1 << 17, 1 << 13, 1 << 16
 VERSION_LINE = re.compile(rb"WARC/1\.[01]\r?\n")
+BEGINNING = re.compile(re.escape(GZIP_MAGIC) + b"|" + VERSION_LINE.pattern)
 
 
 def digest_of(payload: bytes) -> str:
@@ -113,13 +118,14 @@ class _Buffer:
         self.at += n
 
 
-def read_records(stream: BinaryIO) -> Iterator[Record | Gap]:
+def read_records(stream: BinaryIO, most_bytes: int = MOST_BYTES) -> Iterator[Record | Gap]:
     """The sound records of an archive, gzip members or plain, and the gaps between them.
 
     A record must have a version line, a content length that the data hold, a closing
     blank line, and digests (where given) that fit. After a failed check the
     reader looks for the next member or version line behind the place where the
-    broken record began, goes on from there, and reports the bytes between.
+    broken record began, goes on from there, and reports the bytes between. A record that
+    claims more than ``most_bytes`` of content is such a gap and is not waited for.
     """
     buffer = _Buffer(stream)
     gap_start, reason = None, ""
@@ -129,7 +135,7 @@ def read_records(stream: BinaryIO) -> Iterator[Record | Gap]:
         if not buffer.data:
             break
         start = buffer.at
-        record, used, why = _member(buffer) if buffer.data.startswith(GZIP_MAGIC) else _plain(buffer)
+        record, used, why = (_member if buffer.data.startswith(GZIP_MAGIC) else _plain)(buffer, most_bytes)
         if record is not None:
             if gap_start is not None:
                 yield Gap(gap_start, start - gap_start, reason)
@@ -149,9 +155,10 @@ def _seek_next(buffer: _Buffer) -> None:
     """Moves to the next member or version line behind the first byte."""
     at = 1
     while True:
-        places = [m.start() for m in (MEMBER.search(buffer.data, at), VERSION_LINE.search(buffer.data, at)) if m]
-        if places:
-            buffer.drop(min(places))
+        if found := BEGINNING.search(buffer.data, at):
+            place = found.start()
+            del found  # a match holds the buffer, which could not shrink
+            buffer.drop(place)
             return
         keep = 16  # a mark may go on in the next read
         if len(buffer.data) > keep:
@@ -162,60 +169,97 @@ def _seek_next(buffer: _Buffer) -> None:
             return
 
 
-def _member(buffer: _Buffer) -> tuple[Record | None, int, str]:
-    unpack, out, fed = zlib.decompressobj(31), bytearray(), 0
+def _member(buffer: _Buffer, most: int) -> tuple[Record | None, int, str]:
+    unpack, out, fed, head, most_fed = zlib.decompressobj(31), bytearray(), 0, None, 2 * HEADER_BYTES
     try:
         while not unpack.eof:
-            if fed == len(buffer.data) and not buffer.more():
+            piece = unpack.unconsumed_tail
+            if not piece and (fed < len(buffer.data) or buffer.more()):
+                piece = bytes(buffer.data[fed : fed + STEP])
+                fed += len(piece)
+            got = unpack.decompress(piece, INFLATED)
+            out += got
+            if not piece and not got and not unpack.eof:
                 return None, 0, "truncated member"
-            out += unpack.decompress(bytes(buffer.data[fed : fed + STEP]))
-            fed = min(fed + STEP, len(buffer.data))
+            if head is None:
+                head, why = _head(out, most)
+                if why not in ("", "more"):
+                    return None, 0, why
+                if head is not None:
+                    # packed data are hardly ever longer than the data
+                    most_fed += 2 * head.end
+            if head is not None and len(out) > head.end:
+                return None, 0, "member goes on after its record"
+            if fed > most_fed:
+                return None, 0, "member longer than its record"
     except zlib.error as error:
         return None, 0, f"broken member: {error}"
-    record, used, why = _parsed(bytes(out), True)
-    if record is not None and used != len(out):
-        return None, 0, "member goes on after its record"
+    if head is None or len(out) < head.end:
+        return None, 0, "truncated record"
+    record, why = _checked(out, head)
     return record, fed - len(unpack.unused_data), why
 
 
-def _plain(buffer: _Buffer) -> tuple[Record | None, int, str]:
+def _plain(buffer: _Buffer, most: int) -> tuple[Record | None, int, str]:
     if not VERSION_LINE.match(buffer.data):
         return None, 0, "no version line"
+    head = None
     while True:
-        record, used, why = _parsed(buffer.data, False)
-        if why != "more" or not buffer.more():
-            return record, used, "truncated record" if why == "more" else why
+        if head is None:
+            head, why = _head(buffer.data, most)
+            if why not in ("", "more"):
+                return None, 0, why
+        if head is not None and len(buffer.data) >= head.end:
+            record, why = _checked(buffer.data, head)
+            return record, head.end, why
+        if not buffer.more():
+            return None, 0, "truncated record"
+
 
+@dataclass
+class _Head:
+    """The header of a record: its block goes from ``begin`` to four bytes before ``end``."""
 
-def _parsed(data: bytes | bytearray, whole: bool) -> tuple[Record | None, int, str]:
-    """The record at the beginning of ``data``; ``more`` as reason if it goes on behind ``data``."""
-    short = "truncated record" if whole else "more"
+    headers: dict[str, str]
+    begin: int
+    end: int
+
+
+def _head(data: bytearray, most: int) -> tuple[_Head | None, str]:
+    """The header at the beginning of ``data``; ``more`` as reason if it goes on behind ``data``."""
+    if len(data) < 16:
+        return None, "more"
     if not VERSION_LINE.match(data):
-        return None, 0, "no version line"
-    end = data.find(b"\r\n\r\n")
+        return None, "no version line"
+    end = data.find(b"\r\n\r\n", 0, HEADER_BYTES)
     if end < 0:
-        return None, 0, short if whole or len(data) < 1 << 20 else "endless header"
+        return None, "more" if len(data) < HEADER_BYTES else "endless header"
     headers = {}
     for line in bytes(data[:end]).split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
-            return None, 0, "broken header line"
+            return None, "broken header line"
         headers[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
-    if not headers.get("content-length", "").isdigit():
-        return None, 0, "no content length"
-    begin, length = end + 4, int(headers["content-length"])
-    if len(data) < begin + length + 4:
-        return None, 0, short
-    block = bytes(data[begin : begin + length])
-    if data[begin + length : begin + length + 4] != b"\r\n\r\n":
-        return None, 0, "no blank line after the block"
-    record = Record(0, headers, block)
+    length = headers.get("content-length", "")
+    if not re.fullmatch("[0-9]+", length):
+        return None, "no content length"
+    if len(length) > 18 or int(length) > most:
+        return None, f"content length above {most}"
+    return _Head(headers, end + 4, end + 4 + int(length) + 4), ""
+
+
+def _checked(data: bytearray, head: _Head) -> tuple[Record | None, str]:
+    """The record of ``data``, which hold all of it, if its end and its digests are right."""
+    block = bytes(data[head.begin : head.end - 4])
+    if data[head.end - 4 : head.end] != b"\r\n\r\n":
+        return None, "no blank line after the block"
+    headers, record = head.headers, Record(0, head.headers, block)
     if headers.get("warc-block-digest", "").startswith("sha1:") and headers["warc-block-digest"][5:] != digest_of(block):
-        return None, 0, "block digest differs"
+        return None, "block digest differs"
     payload = headers.get("warc-payload-digest", "")
     if payload.startswith("sha1:") and headers.get("warc-type") != "revisit" and payload[5:] != digest_of(record.payload()):
-        return None, 0, "payload digest differs"
-    return record, begin + length + 4, ""
+        return None, "payload digest differs"
+    return record, ""
 
 
 # ---- tables -----------------------------------------------------------------
@@ -234,7 +278,8 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     firsts = rows.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
     # only payloads that occur again are looked up
     firsts = firsts.filter("digest is not null and n > 1").drop("n")
-    rows = rows.join(firsts, "digest", "left")
+    # the small side has an exchange of its own, so that a payload of very many pages can be split
+    rows = split_join(rows, firsts, ["digest"], "left")
     return rows.select("page_id", "url", "payload", F.when(F.col("first") < F.col("page_id"), F.col("first")).alias("refers_to"))
 
 
@@ -277,13 +322,13 @@ RECORD_SCHEMA = (
 )
 
 
-def read_archives(spark: SparkSession, files: DataFrame) -> DataFrame:
+def read_archives(spark: SparkSession, files: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
     """Records and quarantined gaps of the archives named in ``files`` (file).
 
     A row is a record (gap_bytes null) or a gap (gap_bytes and gap_reason, all else
     but file and offset null). payload_bytes and payload_digest are those of the
     full payload, also for revisits, whose payload is null. Files are dealt out to
-    tasks and streamed.
+    tasks and streamed; records that claim more than ``most_bytes`` of content come as gaps.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,7 +336,7 @@ def read_archives(spark: SparkSession, files: DataFrame) -> DataFrame:
             for name in batch.column("file").to_pylist():
                 rows, size = [], 0
                 with open_input(name) as stream:
-                    for item in read_records(stream):
+                    for item in read_records(stream, most_bytes):
                         rows.append(_row(name, item))
                         size += len(rows[-1]["payload"] or b"")
                         if size > 4 << 20 or len(rows) >= 2000:

@@ -2,6 +2,7 @@
 
 import io
 import re
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,6 +42,84 @@ def test_salvage(packed):
     assert [g.length for g in gaps[2:]] == [5, 4] and all(g.reason for g in gaps)
 
 
+def claiming(length, body):
+    return b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n" % length + body
+
+
+class Long(io.RawIOBase):
+    """``head``, then ``size`` bytes without a mark, then ``tail``, made as they are read."""
+
+    def __init__(self, head, size, tail):
+        self.parts = [[head, 1], [b"x" * 4096, size // 4096], [tail, 1]]
+
+    def read(self, size=-1):
+        while self.parts and not self.parts[0][1]:
+            del self.parts[0]
+        if not self.parts:
+            return b""
+        self.parts[0][1] -= 1
+        return self.parts[0][0]
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_false_lengths_are_not_waited_for(packed):
+    pages = [b"page %d " % i * 50 for i in range(50)]
+    good = archive(pages) if packed else [warc.record_bytes(i, None, p, None) for i, p in enumerate(pages)]
+    head = claiming(10**10, b"")
+    head = warc.gzip_member(head) if packed else head
+    tracemalloc.start()
+    got = list(warc.read_records(Long(head, 256 << 20, b"".join(good))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got[0].start, got[0].length) == (0, len(head) + (256 << 20)) and "content length" in got[0].reason
+    assert [r.payload() for r in got[1:]] == pages and peak < 8 << 20
+    for length in (b"9" * 400, "²".encode(), b"-5", b""):
+        odd = b"WARC/1.1\r\nContent-Length: " + length + b"\r\n\r\n"
+        gap, *rest = warc.read_records(io.BytesIO((warc.gzip_member(odd) if packed else odd) + b"".join(good)))
+        assert isinstance(gap, warc.Gap) and len(rest) == 50
+
+
+def test_a_false_length_below_the_bound_hides_no_record():
+    pages = [b"page %d " % i * 50 for i in range(50)]
+    good = [warc.record_bytes(i, None, p, None) for i, p in enumerate(pages)]
+    head = claiming(5000, b"")
+    gap, *rest = warc.read_records(io.BytesIO(head + b"".join(good)))
+    assert gap.length == len(head) and [r.payload() for r in rest] == pages
+    gap, *rest = warc.read_records(io.BytesIO(claiming(10**6, b"") + b"".join(good)))
+    assert gap.reason == "truncated record" and [r.payload() for r in rest] == pages
+    # a bound below a record's length turns just that record into a gap
+    got = list(warc.read_records(io.BytesIO(b"".join([*good[:2], warc.record_bytes(9, None, b"z" * 5000, None), *good[2:]])), most_bytes=1000))
+    assert sum(isinstance(g, warc.Gap) for g in got) == 1 and len(got) == 51
+
+
+def test_members_are_inflated_no_further_than_their_record():
+    bomb = warc.gzip_member(claiming(10, b"0123456789\r\n\r\n") + bytes(256 << 20))
+    tail = archive([b"after"])[0]
+    tracemalloc.start()
+    gap, record = warc.read_records(io.BytesIO(bomb + tail))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (gap.length, gap.reason) == (len(bomb), "member goes on after its record")
+    assert record.payload() == b"after" and record.offset == len(bomb) and peak < 8 << 20
+    # stored blocks without content: bytes that inflate to nothing
+    empty = b"\x1f\x8b\x08\0\0\0\0\0\0\xff" + b"\0\0\0\xff\xff" * (1 << 20)
+    gap, record = warc.read_records(io.BytesIO(empty + tail))
+    assert gap.reason == "member longer than its record" and record.payload() == b"after"
+
+
+def test_a_record_longer_than_every_buffer(spark, tmp_path):
+    long = bytes(range(256)) * (40 << 10)
+    for packed in (True, False):
+        record = warc.record_bytes(1, None, long, None)
+        path = tmp_path / f"long{packed}.warc"
+        path.write_bytes((warc.gzip_member(record) if packed else record) + archive([b"next"])[0])
+        names = spark.createDataFrame([(str(path),)], "file string")
+        first, second = sorted(warc.read_archives(spark, names).collect(), key=lambda r: r.offset)
+        assert bytes(first.payload) == long and bytes(second.payload) == b"next"
+        gap, second = sorted(warc.read_archives(spark, names, most_bytes=1000).collect(), key=lambda r: r.offset)
+        assert gap.gap_bytes == second.offset and gap.payload is None and bytes(second.payload) == b"next"
+
+
 def test_round_trip(spark):
     rows = [(5, "http://a", "same", "p", "h"), (3, "http://b", "same", None, None), (9, None, "same", None, None), (1, "u", None, None, None), (2, "u\r\nx: y", "", None, None), (None, "u", "same", None, None), (7, "u", "Ä" * 9, None, None), (7, "u", "Ä" * 9, None, None)]
     got = warc.round_trip(spark.createDataFrame(rows, PAGES)).collect()
