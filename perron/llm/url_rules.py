@@ -97,21 +97,20 @@ def judge_urls(
 
     Each rule is filed under the one of its literal tokens that fewest urls have.
     Every distinct url is split into tokens, tokens fetch candidate rules, and only
-    candidates run their pattern. Rules without any token are tried on all urls.
+    candidates run their pattern. Rules without any token are tried on every distinct url, in one expression.
     """
     spark = pages.sparkSession
     urls = saved(pages.filter(F.col(url).isNotNull()).select(F.col(url).alias("url")).distinct(), "urls")
     rules = [(i, r.text, r.verdict, r.wild, r.pattern(), r.tokens()) for i, r in enumerate((*host_rules, *pattern_rules))]
     table = spark.createDataFrame(rules, "rule_id int, rule string, verdict string, wild boolean, pattern string, tokens array<string>")
-    filed, free = _filed(spark, urls, table)
+    filed = _filed(spark, urls, table)
     host, path = host_and_path(F.col("url"))
     parts = urls.select("url", host.alias("host"), path.alias("path"), F.explode_outer(url_tokens(F.col("url"))).alias("token"))
     candidates = parts.join(bounded_broadcast(filed), "token").drop("token")
-    if free.head(1):
-        everywhere = parts.select("url", "host", "path").distinct().withColumn("token", F.lit(""))
-        candidates = candidates.unionByName(everywhere.join(F.broadcast(free.withColumn("token", F.lit(""))), "token").drop("token"))
     subject = F.when(F.col("wild"), F.col("url")).otherwise(F.concat("host", "path"))
-    hits = candidates.filter(F.regexp_like(subject, F.col("pattern")))
+    hits = candidates.filter(F.regexp_like(subject, F.col("pattern"))).select("url", "rule", "verdict", "wild")
+    if free := [r for r in (*host_rules, *pattern_rules) if not r.tokens()]:
+        hits = hits.unionByName(urls.select("url", F.inline(_matching(free, host, path))))
     longest = F.max(F.when(~F.col("wild"), F.struct(F.length("rule").alias("n"), "rule", F.col("verdict").alias("by_rule"))))
     found = hits.groupBy("url").agg(
         longest.alias("best"),
@@ -131,8 +130,19 @@ def judge_urls(
     )
 
 
-def _filed(spark: SparkSession, urls: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rules under their rarest token, and rules without a token."""
+def _matching(rules: list[Rule], host: Column, path: Column) -> Column:
+    """The rules (rule, verdict, wild) that fit the row's url."""
+
+    def one(rule: Rule) -> Column:
+        subject = F.col("url") if rule.wild else F.concat(host, path)
+        found = F.struct(F.lit(rule.text).alias("rule"), F.lit(rule.verdict).alias("verdict"), F.lit(rule.wild).alias("wild"))
+        return F.when(F.regexp_like(subject, F.lit(rule.pattern())), found)
+
+    return F.array_compact(F.array(*map(one, rules)))
+
+
+def _filed(spark: SparkSession, urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """Rules under their rarest token; those without a token are left out."""
     by_token = rules.select("*", F.explode("tokens").alias("token")).drop("tokens")
     wanted = by_token.select("token").distinct()
     seen = urls.select(F.explode(url_tokens(F.col("url"))).alias("token")).join(bounded_broadcast(wanted), "token", "left_semi")
@@ -140,5 +150,4 @@ def _filed(spark: SparkSession, urls: DataFrame, rules: DataFrame) -> tuple[Data
     counted = by_token.join(seen, "token", "left").fillna({"n": 0})
     rarest = counted.groupBy("rule_id").agg(F.min(F.struct("n", "token")).alias("at"))
     filed = by_token.join(rarest, "rule_id").filter(F.col("token") == F.col("at.token")).drop("at").dropDuplicates(["rule_id"])
-    filed = saved(filed, "url-rules")
-    return filed, rules.filter(F.size("tokens") == 0).drop("tokens")
+    return saved(filed, "url-rules")
