@@ -113,3 +113,36 @@ def test_fuzzy_join_meets_few_pairs(spark):
     assert joined.count() < len(known) ** 2
     assert joined.where("not contains('strasse', segment)").count() <= 0.1 * len(known) ** 2
     assert resolve._candidate_pairs(names, name_map).count() <= 0.1 * len(known) ** 2
+
+
+def test_segments_are_never_broadcast(spark):
+    # a known name gives some hundred rows, which Spark takes for one when it decides on a broadcast
+    known = [(f"platz{n:07d}weg", n, f"Platz {n}") for n in range(2000)]
+    name_map = spark.createDataFrame(known, "normalized string, station_key long, station_name string")
+    names = spark.createDataFrame([(f"platz{n:07d}wex",) for n in range(100)], "name string")
+    found = resolve.fuzzy_matches(names, name_map)
+    assert found.count() == 100
+    assert resolve._segments(name_map).count() > 30 * len(known)
+    plan = resolve._candidate_pairs(names, name_map)._jdf.queryExecution().executedPlan().toString()
+    # only the list of common word parts, joined from the left, may be broadcast
+    assert "SortMergeJoin [name_length" in plan
+    assert all("LeftOuter" in line for line in plan.splitlines() if "BroadcastHashJoin" in line)
+
+
+def test_common_word_parts_are_dealt(spark, monkeypatch):
+    rng = random.Random(19)
+    known = sorted({"".join(rng.choice("abcdefgh") for _ in range(8)) + "strasse" for _ in range(150)})
+    names = spark.createDataFrame([(perturbed(n, rng),) for n in known], "name string").distinct()
+    name_map = spark.createDataFrame([(n, k, n.upper()) for k, n in enumerate(known)], "normalized string, station_key long, station_name string")
+    whole = sorted(resolve.fuzzy_matches(names, name_map).collect())
+    monkeypatch.setattr(resolve, "NAMES_PER_PART", 7)
+    assert whole and sorted(resolve.fuzzy_matches(names, name_map).collect()) == whole
+
+
+def test_signature_of_two_words_never_overstates_the_distance(spark):
+    rng = random.Random(17)
+    names = [n or "a" for n in random_names(60, rng, "abcdefghij", 25)]
+    df = spark.createDataFrame([(a, b) for a in names[:30] for b in names[30:]], "a string, b string")
+    both = (F.bit_count(letter_signature(F.col("a"), n, 2).bitwiseXOR(letter_signature(F.col("b"), n, 2))) for n in range(2))
+    for row in df.select("a", "b", sum(both).alias("bits")).collect():
+        assert row.bits <= len(row.a) + len(row.b) - 2 * lcs(row.a, row.b)
