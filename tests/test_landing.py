@@ -183,3 +183,34 @@ def test_a_table_older_than_its_log(spark, tmp_path):
     lake.append_documents(planned, "timetables", str(tmp_path))
     assert tables.read_table(spark, str(tmp_path), "timetables").count() == before
     assert len(CHANGES) == 4
+
+
+def test_lists_of_paths_are_merged(spark, tmp_path):
+    # some hundred bytes of Parquet hold all these paths, so their size is guessed far too small
+    paths = spark.range(5000).select(F.format_string("/a/long/folder/w1/2509221901/%07d_timetable.xml", "id").alias("file_path"))
+    paths.write.parquet(str(tmp_path / "t"))
+    known = spark.read.parquet(str(tmp_path / "t"))
+    left = tables.of_new_files(paths.union(spark.createDataFrame([("/new",)], "file_path string")), known)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert [r.file_path for r in left.collect()] == ["/new"]
+
+
+def test_a_new_drop_is_not_compared_text_by_text(spark, tmp_path, monkeypatch):
+    def documents(*names):
+        return spark.createDataFrame([(f"/d/timetables/w1/2509221901/{n}.xml", "<timetable><s id='a'><ar/></s></timetable>") for n in names], "file_path string, xml string")
+
+    compared, of_new_files = [], tables.of_new_files
+
+    def counted(df, known, *args):
+        compared.append("xml" in df.columns and known is not None)
+        return of_new_files(df, known, *args)
+
+    monkeypatch.setattr(tables, "of_new_files", counted)
+    assert lake.append_documents(documents("a", "b"), layout.PLANNED_FEED, str(tmp_path)) == 2
+    assert lake.append_documents(documents("c"), layout.PLANNED_FEED, str(tmp_path)) == 1
+    assert not any(compared)
+    # partly known: texts are compared; the same new file twice is one file of two documents, as before
+    assert lake.append_documents(documents("c", "d", "d"), layout.PLANNED_FEED, str(tmp_path)) == 1
+    assert any(compared)
+    assert tables.read_table(spark, str(tmp_path), layout.PLANNED_FEED).count() == 5
