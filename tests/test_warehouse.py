@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from feed import write_feed
-from perron.operators import keys, latest
+from perron.operators import joins, keys, latest, resolve
 from perron.plans import dimensions, reports, schema_check, warehouse
-from perron.sources import layout, stations, xml
+from perron.sources import derived, layout, stations, xml
 
 
 @pytest.fixture(scope="module")
@@ -91,3 +91,31 @@ def test_latest_change_does_not_depend_on_row_order(spark, documents):
     shuffled = changes.orderBy(F.rand(1)).repartition(5)
     expected = sorted(map(tuple, latest.latest_changes(changes).collect()), key=str)
     assert sorted(map(tuple, latest.latest_changes(shuffled).collect()), key=str) == expected
+
+
+def test_long_lookups_are_merged(spark, tmp_path):
+    names = spark.range(50).select(F.col("id").cast("string").alias("xml_station"), F.lit("f").alias("file_station"), F.col("id").alias("station_key"))
+    names.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    rows = spark.range(200).select((F.col("id") % 60).cast("string").alias("xml_station"), F.lit("f").alias("file_station"))
+    for small, kind in ((10, "SortMergeJoin"), (50, "BroadcastHashJoin")):
+        found = joins.stored_lookup(rows, stored, ["xml_station", "file_station"], small)
+        assert kind in found._jdf.queryExecution().executedPlan().toString()
+        assert found.where("station_key is null").count() == sum(n % 60 >= 50 for n in range(200))
+
+
+def test_names_are_never_broadcast(spark, tmp_path):
+    spark.createDataFrame([("a", 1, "A"), ("b", 2, "B")], "normalized string, station_key long, station_name string").write.parquet(str(tmp_path / "t"))
+    names = spark.createDataFrame([("A", "b"), (None, "B"), ("x", "y")], "xml_station string, file_station string")
+    found = resolve.exact_matches(names, spark.read.parquet(str(tmp_path / "t")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted(str(r.station_key) for r in found.collect()) == ["1", "2", "None"]
+
+
+@pytest.mark.parametrize("documents", [derived.planned_documents, derived.change_documents])
+def test_texts_are_rendered_after_the_shuffle(spark, sf_dir, documents):
+    plan = documents(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    # read from the result down to the tables: both halves of the aggregate stand above the exchange
+    assert plan.index("partial_collect_list") < plan.index("Exchange hashpartitioning")
+    assert plan.count("Exchange hashpartitioning") == 1
