@@ -139,6 +139,24 @@ def test_common_word_parts_are_dealt(spark, monkeypatch):
     assert whole and sorted(resolve.fuzzy_matches(names, name_map).collect()) == whole
 
 
+def test_list_of_common_parts_is_bounded(spark, monkeypatch):
+    rng = random.Random(23)
+    known = sorted({"".join(rng.choice("abcdefgh") for _ in range(8)) + "strasse" for _ in range(150)})
+    names = spark.createDataFrame([(perturbed(n, rng),) for n in [*known, ""]], "name string").distinct()
+    name_map = spark.createDataFrame([(n, k, n.upper()) for k, n in enumerate(known)], "normalized string, station_key long, station_name string")
+    whole = sorted(resolve.fuzzy_matches(names, name_map).collect())
+    substrings = resolve._substrings(names)
+    assert names.agg(F.sum(resolve._n_substrings(F.col("name")))).first()[0] == substrings.count()
+    monkeypatch.setattr(resolve, "NAMES_PER_PART", 2)
+    common = substrings.groupBy(*resolve._KEYS).count().where(F.col("count") > 2).count()
+    assert resolve._common_parts(names, substrings).count() == common > 300
+    monkeypatch.setattr(resolve, "MOST_PARTS", 300)
+    assert 0 < resolve._common_parts(names, substrings).count() < 300
+    assert whole and sorted(resolve.fuzzy_matches(names, name_map).collect()) == whole
+    empty = names.where("name is null")
+    assert resolve._common_parts(empty, resolve._substrings(empty)).count() == 0
+
+
 def test_signature_of_two_words_never_overstates_the_distance(spark):
     rng = random.Random(17)
     names = [n or "a" for n in random_names(60, rng, "abcdefghij", 25)]
