@@ -104,6 +104,28 @@ def test_long_lookups_are_merged(spark, tmp_path):
         assert found.where("station_key is null").count() == sum(n % 60 >= 50 for n in range(200))
 
 
+def test_lookups_of_some_thousand_rows_are_merged(spark, tmp_path):
+    spark.range(20_000).select(F.col("id").cast("string").alias("train_id"), F.col("id").alias("train_key")).write.parquet(str(tmp_path / "t"))
+    rows = spark.range(50).select((F.col("id") * 1000).cast("string").alias("train_id"))
+    found = joins.stored_lookup(rows, spark.read.parquet(str(tmp_path / "t")), ["train_id"])
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.where("train_key is not null").count() == 20 and found.count() == 50
+
+
+def test_lists_of_stations_are_never_broadcast(spark, tmp_path):
+    rows = [(1, "a", 7, "x"), (2, "b", None, "y"), (None, None, None, "z"), (3, "c", 8, "w")]
+    spark.createDataFrame(rows, "station_number int, station_name string, eva_number int, city string").write.parquet(str(tmp_path / "t"))
+    given = spark.read.parquet(str(tmp_path / "t"))
+    dimensions.added_station_keys(given.where("city <> 'w'"), None).write.parquet(str(tmp_path / "keys"))
+    stored = spark.read.parquet(str(tmp_path / "keys"))
+    keyed, added = dimensions.keyed_stations(given, stored), dimensions.added_station_keys(given, stored)
+    assert sorted(r.city for r in keyed.collect()) == ["x", "y", "z"]
+    assert [r.station_number for r in added.collect()] == [3]
+    assert "Broadcast" not in keyed._jdf.queryExecution().executedPlan().toString()
+    plan = added._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [coalesce(station_number" in plan
+
+
 def test_names_are_never_broadcast(spark, tmp_path):
     spark.createDataFrame([("a", 1, "A"), ("b", 2, "B")], "normalized string, station_key long, station_name string").write.parquet(str(tmp_path / "t"))
     names = spark.createDataFrame([("A", "b"), (None, "B"), ("x", "y")], "xml_station string, file_station string")
