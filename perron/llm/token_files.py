@@ -367,6 +367,7 @@ def read_file(path: str) -> Iterator[tuple[int | None, np.ndarray]]:
                 raise ValueError(f"{path}: broken block {block}")
             parts.append(found)
     whole = np.concatenate(parts)[:total] if parts else np.zeros(0, np.uint32)
+    del parts
     ends = np.cumsum(index["n_tokens"], dtype=np.int64)
     for doc_id, n, end in zip(index["doc_ids"], index["n_tokens"], ends):
         yield doc_id, whole[end - n : end]
@@ -485,6 +486,7 @@ def write_documents(docs: DataFrame, tokenizer: str, end_id: int, text: str = "t
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(shared.value)
+        end = np.array([end_id], np.uint32)
         keys, held, size, seq, part = [], [], 0, 0, None
 
         def flush() -> pa.RecordBatch:
@@ -494,10 +496,14 @@ def write_documents(docs: DataFrame, tokenizer: str, end_id: int, text: str = "t
 
         for batch in pieces(batches, "text", PIECE):
             part = batch.column("part")[0].as_py()
-            for k, found in zip(batch.column("key").to_pylist(), words.of(batch.column("text").to_pylist())):
+            found = words.of(batch.column("text").to_pylist())
+            # one array for all texts of the batch
+            closed = np.concatenate([part for ids in found for part in (ids, end)])
+            ends = np.cumsum([len(ids) + 1 for ids in found]).tolist()
+            for k, begin, stop in zip(batch.column("key").to_pylist(), [0, *ends], ends):
                 keys.append(k)
-                held.append(np.append(found, np.uint32(end_id)))
-                size += len(held[-1])
+                held.append(closed[begin:stop])
+                size += stop - begin
                 if size >= file_ids:
                     yield flush()
                     keys, held, size, seq = [], [], 0, seq + 1
